@@ -6,19 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import wu_manber
+from . import parity_join, wu_manber
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.join(_table(spark, sf_dir, "documents"))
+
+
 def op10_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wu_manber.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_wu_manber": op10_wu_manber}
+    return {"op3_parity_join": op3_parity_join, "op10_wu_manber": op10_wu_manber}
 
 
 def oracle_sql() -> dict[str, str]:
