@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import parity_join, wu_manber
+from . import media_boxes, parity_join, token_files, wu_manber
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,12 +18,21 @@ def op3_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.join(_table(spark, sf_dir, "documents"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, parts = token_files.write(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, vocabulary=49_408)
+    return token_files.read(spark, path, parts)
+
+
+def op9_media_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_boxes.columns(_table(spark, sf_dir, "documents"))
+
+
 def op10_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wu_manber.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_parity_join": op3_parity_join, "op10_wu_manber": op10_wu_manber}
+    return {"op3_parity_join": op3_parity_join, "op6_token_files": op6_token_files, "op9_media_boxes": op9_media_boxes, "op10_wu_manber": op10_wu_manber}
 
 
 def oracle_sql() -> dict[str, str]:
