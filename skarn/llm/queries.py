@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media_boxes, parity_join, token_files, wu_manber
+from . import byte_bpe, media_boxes, parity_join, token_files, wu_manber
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 def op3_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.join(_table(spark, sf_dir, "documents"))
 
@@ -32,7 +36,7 @@ def op10_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_parity_join": op3_parity_join, "op6_token_files": op6_token_files, "op9_media_boxes": op9_media_boxes, "op10_wu_manber": op10_wu_manber}
+    return {"op2_byte_bpe": op2_byte_bpe, "op3_parity_join": op3_parity_join, "op6_token_files": op6_token_files, "op9_media_boxes": op9_media_boxes, "op10_wu_manber": op10_wu_manber}
 
 
 def oracle_sql() -> dict[str, str]:
