@@ -6,14 +6,27 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import byte_bpe, media_boxes, parity_join, token_files, wu_manber
+from . import byte_bpe, media_boxes, parity_join, token_files, toxicity, wu_manber
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(toxicity.third() != 1))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id",
+        F.coalesce(toxicity.third() == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
@@ -36,7 +49,7 @@ def op10_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_byte_bpe": op2_byte_bpe, "op3_parity_join": op3_parity_join, "op6_token_files": op6_token_files, "op9_media_boxes": op9_media_boxes, "op10_wu_manber": op10_wu_manber}
+    return {"op1_toxicity": op1_toxicity, "op2_byte_bpe": op2_byte_bpe, "op3_parity_join": op3_parity_join, "op6_token_files": op6_token_files, "op9_media_boxes": op9_media_boxes, "op10_wu_manber": op10_wu_manber}
 
 
 def oracle_sql() -> dict[str, str]:
