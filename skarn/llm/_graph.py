@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import checkpointed
+from ._common import checkpointed, stored
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -35,3 +37,27 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         labels = nxt.select("node", "label")
         if nxt.where("label <> old").isEmpty():
             return labels.withColumnRenamed("label", "component")
+
+
+def cluster_by_keys(keys: DataFrame, verified: Callable[[DataFrame], DataFrame], facts: DataFrame, plausible: Callable[[Callable[[str], Column], Callable[[str], Column]], Column]) -> DataFrame:
+    """(node, component) of the items that ``verified`` links among those sharing a key.
+
+    ``keys`` has distinct (key, item) rows, ``facts`` a row for each item. Each item is first compared with the smallest
+    item of its keys; keys whose items have thereby become one component are done. Items of different components that
+    still share a key are compared if ``plausible`` holds between the facts of both. So a group of copies costs one
+    comparison each, and no link is lost that could join two components.
+    """
+    by_key = Window.partitionBy("key")
+    shared = keys.withColumns({"low": F.min("item").over(by_key), "high": F.max("item").over(by_key)}).where("low <> high").select("key", "item", "low")
+    shared = stored(shared, "shared-keys")
+    star = shared.groupBy("item").agg(F.min("low").alias("a")).where("a <> item").select("a", F.col("item").alias("b"))
+    found = stored(verified(star), "links")
+    joined = components(found)
+    labelled = shared.select("key", "item").join(joined.withColumnRenamed("node", "item"), "item", "left").withColumn("component", F.coalesce("component", "item"))
+    labelled = labelled.withColumns({"low": F.min("component").over(by_key), "high": F.max("component").over(by_key)}).where("low <> high").drop("low", "high")
+    labelled = stored(labelled.join(facts, "item"), "open-keys")
+    x, y = (labelled.select("key", *[F.col(c).alias(f"{k}_{c}") for c in labelled.columns if c != "key"]) for k in "xy")
+    both = (F.col("x_item") < F.col("y_item")) & (F.col("x_component") != F.col("y_component")) & plausible(lambda c: F.col(f"x_{c}"), lambda c: F.col(f"y_{c}"))
+    pairs = x.withColumnRenamed("key", "x_key").join(y.withColumnRenamed("key", "y_key"), (F.col("x_key") == F.col("y_key")) & both).select(F.col("x_item").alias("a"), F.col("y_item").alias("b"))
+    more = stored(verified(pairs.distinct().join(star, ["a", "b"], "left_anti")), "more-links")
+    return joined if more.isEmpty() else components(found.unionByName(more))

@@ -30,7 +30,7 @@ from pyspark.sql import Window
 
 from . import _text
 from ._common import broadcast_if_small, map_text, stored
-from ._graph import components
+from ._graph import cluster_by_keys
 
 WIDTH = 5
 PERCENT = 75
@@ -158,11 +158,29 @@ def _contents(docs: DataFrame, text: str, width: int) -> DataFrame:
             found = sets(flat, offsets, width)
             values = np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64)
             ends = np.concatenate([[0], np.cumsum([len(s) for s in found])]).astype(np.int32)
-            return [pa.ListArray.from_arrays(pa.array(ends), pa.array(values)), pa.array([bit_sketch(s) for s in found], pa.list_(pa.int64()))]
+            return [pa.ListArray.from_arrays(pa.array(ends), pa.array(values)), *map(list, zip(*[bit_sketch(s) for s in found]))]
 
         return work
 
-    return map_text(docs, text, ["sid"], "shingles array<bigint>, bits array<bigint>", start)
+    return map_text(docs, text, ["sid"], "shingles array<bigint>, " + ", ".join(f"bits{i} bigint" for i in range(SKETCH_WORDS)), start)
+
+
+def _all_keys(content: DataFrame, percent: int) -> DataFrame:
+    """(key, sid, least) with the words of all non-empty blocks of the candidates, from their stored sets."""
+    import pyarrow as pa
+
+    schema = pa.schema([("key", pa.int64()), ("sid", pa.int64()), ("least", pa.int32())])
+
+    def run(batches):
+        for batch in batches:
+            sids, lists = batch.column(0).to_numpy(), batch.column(1)
+            for low in range(0, batch.num_rows, 512):
+                made = [keys(lists[i].values.to_numpy().view(np.uint64), percent, float(BAND)) for i in range(low, min(low + 512, batch.num_rows))]
+                counts = [len(k) for k, _ in made]
+                columns = [np.concatenate([k for k, _ in made]).view(np.int64), np.repeat(sids[low : low + len(made)], counts), np.repeat(np.array([x for _, x in made], np.int32), counts)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
+
+    return content.select("sid", "shingles").mapInArrow(run, "key bigint, sid bigint, least int")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
@@ -170,33 +188,32 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width:
     return map_text(docs.withColumnRenamed(id_col, "doc_id"), text, ["doc_id"], "n_shingles bigint, sid bigint", lambda: _describe(width))
 
 
-def links(docs: DataFrame, described: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, surplus: float = SURPLUS) -> tuple[DataFrame, DataFrame]:
-    """(a, b) links between classes that connect all linked classes, and (node, component) over the linked ones."""
+def _shared(emitted: DataFrame, name: str) -> DataFrame:
+    """The emitted (key, sid, least) rows whose key several classes have, with the number of these."""
     by_key = Window.partitionBy("key")
-    shared = (
-        _emit(docs, text, width, percent, surplus)
-        .withColumns({"low": F.min("sid").over(by_key), "high": F.max("sid").over(by_key), "size": F.count(F.lit(1)).over(by_key)})
-        .where("low <> high")
-        .drop("low", "high")
-    )
-    shared = stored(shared.dropDuplicates(["key", "sid"]), "shared-keys")
+    found = emitted.withColumns({"low": F.min("sid").over(by_key), "high": F.max("sid").over(by_key)}).where("low <> high").drop("low", "high")
+    return stored(found.dropDuplicates(["key", "sid"]).withColumn("size", F.count(F.lit(1)).over(by_key)), name)
+
+
+def _enough(shared: DataFrame) -> DataFrame:
+    """(sid, least) of the classes with as many shared keys as any link would show."""
     own = shared.groupBy("sid").agg(F.count(F.lit(1)).alias("n_keys"), F.min("least").alias("least"))
-    own = own.where("n_keys >= least").drop("n_keys")
-    by_sid = Window.partitionBy("sid").orderBy(F.desc("size"), F.desc("key"))
-    rare = (
-        shared.drop("least")
-        .join(own, "sid")
-        .withColumn("rank", F.row_number().over(by_sid))
-        .where("rank >= least")
-        .select("key", "sid")
-    )
-    rare = stored(rare.withColumn("low", F.min("sid").over(by_key)).withColumn("high", F.max("sid").over(by_key)).where("low <> high").drop("high"), "rare-keys")
+    return own.where("n_keys >= least").drop("n_keys")
+
+
+def linked(docs: DataFrame, described: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, surplus: float = SURPLUS) -> DataFrame:
+    """(node, component) over the classes that link with another."""
     chosen = described.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
-    chosen = chosen.join(rare.select("sid").distinct(), "sid", "left_semi")
-    chosen = stored(chosen, "candidates")
-    one = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")).join(broadcast_if_small(chosen, 48), "doc_id")
+    chosen = stored(chosen.join(_enough(_shared(_emit(docs, text, width, percent, surplus), "first-keys")), "sid"), "candidates")
+    one = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")).join(broadcast_if_small(chosen.select("doc_id", "sid"), 32), "doc_id")
     content = stored(_contents(one, "text", width).dropDuplicates(["sid"]).join(chosen.select("sid", "n"), "sid"), "shingles")
 
+    shared = _shared(_all_keys(content, percent), "all-keys")
+    shared = _shared(shared.drop("size", "least").join(_enough(shared), "sid").select("key", "sid", "least"), "kept-keys")
+    own = _enough(shared)
+    by_sid = Window.partitionBy("sid").orderBy(F.desc("size"), F.desc("key"))
+    rare = shared.drop("least").join(own, "sid").withColumn("rank", F.row_number().over(by_sid)).where("rank >= least")
+
     def verified(pairs: DataFrame) -> DataFrame:
         left = content.select(F.col("sid").alias("a"), F.col("shingles").alias("sa"))
         right = content.select(F.col("sid").alias("b"), F.col("shingles").alias("sb"))
@@ -205,30 +222,19 @@ def links(docs: DataFrame, described: DataFrame, id_col: str = "doc_id", text: s
         union = F.size("sa") + F.size("sb") - common
         return both.where(common.cast("long") * 100 >= union.cast("long") * percent).select("a", "b")
 
-    star = rare.groupBy("sid").agg(F.min("low").alias("a")).where("a <> sid").select("a", F.col("sid").alias("b"))
-    found = stored(verified(star), "links")
-    joined = components(found)
-    side = content.select("sid", "n", "bits")
-    labelled = rare.select("key", "sid").join(joined.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    labelled = labelled.withColumns({"low": F.min("component").over(by_key), "high": F.max("component").over(by_key)}).where("low <> high").drop("low", "high")
-    labelled = stored(labelled, "open-keys")
-    x, y = (labelled.select("key", *(F.col(c).alias(c[0] + k) for c in ("sid", "component"))) for k in "xy")
-    pairs = x.join(y, "key").where("sx < sy and cx <> cy").select(F.col("sx").alias("a"), F.col("sy").alias("b")).distinct()
-    pairs = pairs.join(star, ["a", "b"], "left_anti")
-    p, q = (side.select(F.col("sid").alias(k), F.col("n").alias("n" + k), F.col("bits").alias("bits_" + k)) for k in "ab")
-    far = F.aggregate(F.arrays_zip("bits_a", "bits_b"), F.lit(0), lambda s, z: s + F.bit_count(z["bits_a"].bitwiseXOR(z["bits_b"])))
-    near = pairs.join(p, "a").join(q, "b").where((F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) & (far * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)))
-    more = stored(verified(near.select("a", "b")), "more-links")
-    if more.isEmpty():
-        return found, joined
-    found = found.unionByName(more)
-    return found, components(found)
+    def plausible(x, y):
+        differing = sum((F.bit_count(x(f"bits{i}").bitwiseXOR(y(f"bits{i}"))) for i in range(SKETCH_WORDS)), F.lit(0))
+        sizes = F.least(x("n"), y("n")) * 100 >= F.greatest(x("n"), y("n")) * percent
+        return sizes & (differing * (100 + percent) <= (x("n") + y("n")) * (100 - percent))
+
+    facts = content.drop("shingles").withColumnRenamed("sid", "item")
+    return cluster_by_keys(rare.select("key", F.col("sid").alias("item")), verified, facts, plausible)
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document; component_id is the smallest doc_id reachable by links."""
     described = stored(classes(docs, id_col, text, width), "classes")
-    _, joined = links(docs, described, id_col, text, width, percent)
+    joined = linked(docs, described, id_col, text, width, percent)
     per_class = described.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("least"))
     named = per_class.join(joined.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
