@@ -31,7 +31,7 @@ from . import _text
 from ._common import map_text, ship
 
 #: Words in the dictionary of frequent words.
-HOT = 1 << 18
+HOT = 1 << 19
 BUCKETS = 1 << 16
 #: Vocabularies are bounded so that a pair of ids fits one key.
 MOST_IDS = 1 << 16
@@ -158,11 +158,10 @@ class Vocabulary:
 class Dictionary:
     """Word hashes with their ids, sorted by hash."""
 
-    def __init__(self, hashes: np.ndarray, ids: list):
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, ids: np.ndarray):
         order = np.argsort(hashes, kind="stable")
-        self.hashes = hashes[order]
-        self.ends = np.concatenate([[0], np.cumsum([len(ids[i]) for i in order])])
-        self.ids = np.fromiter((t for i in order for t in ids[i]), dtype=np.int32, count=int(self.ends[-1]))
+        where, self.ends = _text.ragged(np.concatenate([[0], np.cumsum(counts)]), order)
+        self.hashes, self.ids = hashes[order], ids[where].astype(np.int32)
 
     def rows(self, hashes: np.ndarray) -> np.ndarray:
         """Row of each hash, or -1."""
@@ -198,24 +197,27 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
 
 def dictionary(docs: DataFrame, vocabulary: Vocabulary, text: str, hot: int) -> Dictionary:
     """The tokens of the vocabulary themselves and the ``hot`` most frequent other words of ``docs``, folded by Spark."""
+    import pyarrow as pa
+
     flat = np.frombuffer(b"".join(vocabulary.pieces), dtype=np.uint8)
     ends = np.concatenate([[0], np.cumsum([len(p) for p in vocabulary.pieces])])
     own = np.flatnonzero(np.diff(ends))
     hashes = _text.span_hashes(flat, ends[:-1][own], ends[1:][own])
-    ids = [[i] for i in own.tolist()]
+    counts, ids = np.ones(len(own), dtype=np.int64), own
     if hot:
-        known = set(hashes.view(np.int64).tolist())
         top = word_counts(docs, text).orderBy(F.desc("n"), "h").limit(hot)
         latin = F.decode("word", "ISO-8859-1")
         values = F.transform(F.sequence(F.lit(1), F.octet_length("word")), lambda i: F.ascii(F.substring(latin, i, F.lit(1))))
         folded = top.select("h", values.alias("bytes")).repartition(docs.sparkSession.sparkContext.defaultParallelism)
         more = folded.select("h", vocabulary.merge(F.col("bytes")).alias("ids")).toArrow()
-        h = more.column("h").to_numpy()
-        new = [i for i, x in enumerate(h.tolist()) if x not in known]
-        lists = more.column("ids").to_pylist()
-        hashes = np.concatenate([hashes, h[new].view(np.uint64)])
-        ids += [lists[i] for i in new]
-    return Dictionary(hashes, ids)
+        new = ~np.isin(more.column("h").to_numpy().view(np.uint64), hashes)  # a token itself is never split
+        lists = more.column("ids").combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        lists = lists.filter(pa.array(new))
+        hashes = np.concatenate([hashes, more.column("h").to_numpy().view(np.uint64)[new]])
+        counts = np.concatenate([counts, np.diff(lists.offsets.to_numpy())])
+        ids = np.concatenate([ids, lists.flatten().to_numpy()])
+    return Dictionary(hashes, counts, ids)
 
 
 def _steps(docs: DataFrame, id_col: str, text: str, sent) -> DataFrame:
