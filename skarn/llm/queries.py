@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, line_dedup, media_boxes, parity_join, token_files, toxicity, wu_manber
+from . import byte_bpe, line_dedup, media_boxes, parity_join, secret_markov, token_files, toxicity, wu_manber
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.summary(line_dedup.dedup(_table(spark, sf_dir, "documents")))
 
 
+def op5_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = secret_markov.train(secret_markov.default_samples(spark))
+    return secret_markov.report(secret_markov.spans(_table(spark, sf_dir, "documents"), model))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, parts = token_files.write(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, vocabulary=49_408)
     return token_files.read(spark, path, parts)
@@ -53,7 +58,7 @@ def op10_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_toxicity": op1_toxicity, "op2_byte_bpe": op2_byte_bpe, "op3_parity_join": op3_parity_join, "op4_line_dedup": op4_line_dedup, "op6_token_files": op6_token_files, "op9_media_boxes": op9_media_boxes, "op10_wu_manber": op10_wu_manber}
+    return {"op1_toxicity": op1_toxicity, "op2_byte_bpe": op2_byte_bpe, "op3_parity_join": op3_parity_join, "op4_line_dedup": op4_line_dedup, "op5_secret_markov": op5_secret_markov, "op6_token_files": op6_token_files, "op9_media_boxes": op9_media_boxes, "op10_wu_manber": op10_wu_manber}
 
 
 def oracle_sql() -> dict[str, str]:
