@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, line_dedup, media_boxes, parity_join, secret_markov, token_files, toxicity, wu_manber
+from . import byte_bpe, line_dedup, media_boxes, parity_join, perspectives, secret_markov, token_files, toxicity, url_intervals, wu_manber
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,32 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path, parts)
 
 
+def op7_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.segments(_table(spark, sf_dir, "conversations"))
+
+
+def url_list(hosts: DataFrame) -> DataFrame:
+    """Dated entries over the distinct ``host`` values, laid out by their lengths and first letters."""
+    day = lambda n: F.date_add(F.lit("2024-01-01").cast("date"), n.cast("int"))
+    own = hosts.where("host <> ''").distinct().withColumn("d", (F.length("host") * 37 + F.ascii("host") * 13) % 240).withColumn("k", F.length("host") % 3)
+    entry = lambda pattern, action, n: F.struct(pattern.alias("pattern"), F.lit(action).alias("action"), day(n).alias("at"))
+    d, host, english = F.col("d"), F.col("host"), F.concat("host", F.lit("/en/"))
+    made = (
+        F.when(F.col("k") == 0, F.array(entry(host, "add", d), entry(host, "remove", d + 60), entry(host, "add", d + 120)))
+        .when(F.col("k") == 1, F.array(entry(english, "add", d), entry(english, "remove", d + 30)))
+        .otherwise(F.array(entry(F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1), "add", F.lit(300))))
+    )
+    return own.select(F.explode(made).alias("e")).select("e.*").where("pattern <> ''")
+
+
+def op8_url_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 365).cast("int")))
+    entries = url_list(pages.select(url_intervals.host_of(F.coalesce("url", F.lit(""))).alias("host")))
+    found = url_intervals.matches(captures, entries)
+    return found.withColumns({"fetched": F.col("fetched").cast("string"), "since": F.col("since").cast("string")})
+
+
 def op9_media_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_boxes.columns(_table(spark, sf_dir, "documents"))
 
@@ -58,8 +84,8 @@ def op10_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_toxicity": op1_toxicity, "op2_byte_bpe": op2_byte_bpe, "op3_parity_join": op3_parity_join, "op4_line_dedup": op4_line_dedup, "op5_secret_markov": op5_secret_markov, "op6_token_files": op6_token_files, "op9_media_boxes": op9_media_boxes, "op10_wu_manber": op10_wu_manber}
+    return {"op1_toxicity": op1_toxicity, "op2_byte_bpe": op2_byte_bpe, "op3_parity_join": op3_parity_join, "op4_line_dedup": op4_line_dedup, "op5_secret_markov": op5_secret_markov, "op6_token_files": op6_token_files, "op7_perspectives": op7_perspectives, "op8_url_intervals": op8_url_intervals, "op9_media_boxes": op9_media_boxes, "op10_wu_manber": op10_wu_manber}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_perspectives": perspectives.SQL, "op8_url_intervals": url_intervals.SQL}
