@@ -87,7 +87,7 @@ settled AS (
 changes AS (
   SELECT * FROM (SELECT *, coalesce(lag(adds) OVER (PARTITION BY pattern ORDER BY day), false) AS was FROM settled) WHERE adds <> was),
 intervals AS (
-  SELECT * FROM (SELECT pattern, day AS start, adds, lead(at) OVER (PARTITION BY pattern ORDER BY day) AS "end" FROM changes) WHERE adds),
+  SELECT * FROM (SELECT pattern, day AS start, adds, lead(day) OVER (PARTITION BY pattern ORDER BY day) AS "end" FROM changes) WHERE adds),
 keys AS (
   SELECT page_id, fetched, array_to_string(list_slice(string_split(host, '.'), i, NULL), '.') AS pattern
   FROM own, unnest(range(1, 1 + len(string_split(host, '.')))) AS t(i) WHERE host <> ''
