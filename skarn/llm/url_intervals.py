@@ -89,7 +89,7 @@ changes AS (
 intervals AS (
   SELECT * FROM (SELECT pattern, day AS start, adds, lead(day) OVER (PARTITION BY pattern ORDER BY day) AS "end" FROM changes) WHERE adds),
 keys AS (
-  SELECT page_id, fetched, array_to_string(list_slice(string_split(host, '.'), i, NULL), '.') AS pattern
+  SELECT page_id, fetched, array_to_string(list_slice(string_split(host, '.'), i, len(string_split(host, '.'))), '.') AS pattern
   FROM own, unnest(range(1, 1 + len(string_split(host, '.')))) AS t(i) WHERE host <> ''
   UNION
   SELECT page_id, fetched, host || array_to_string(list_slice(string_split(path, '/'), 1, i), '/') || '/'
