@@ -39,25 +39,48 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return labels.withColumnRenamed("label", "component")
 
 
+#: Rounds in which one pair of representatives stands for two components before all their pairs are compared.
+PROBES = 3
+
+
 def cluster_by_keys(keys: DataFrame, verified: Callable[[DataFrame], DataFrame], facts: DataFrame, plausible: Callable[[Callable[[str], Column], Callable[[str], Column]], Column]) -> DataFrame:
     """(node, component) of the items that ``verified`` links among those sharing a key.
 
     ``keys`` has distinct (key, item) rows, ``facts`` a row for each item. Each item is first compared with the smallest
-    item of its keys; keys whose items have thereby become one component are done. Items of different components that
-    still share a key are compared if ``plausible`` holds between the facts of both. So a group of copies costs one
-    comparison each, and no link is lost that could join two components.
+    item of its keys. Where a key's items are still of several components, one item of each is compared with one of the
+    first component, in a few rounds with other items. Last, all items of different components that share a key are
+    compared if ``plausible`` holds between the facts of both. So a group of copies costs about one comparison each, and
+    no link is lost that could join two components.
     """
     by_key = Window.partitionBy("key")
     shared = keys.withColumns({"low": F.min("item").over(by_key), "high": F.max("item").over(by_key)}).where("low <> high").select("key", "item", "low")
     shared = stored(shared, "shared-keys")
-    star = shared.groupBy("item").agg(F.min("low").alias("a")).where("a <> item").select("a", F.col("item").alias("b"))
-    found = stored(verified(star), "links")
+    names = ["item", *[c for c in facts.columns if c != "item"]]
+
+    def still_open(joined: DataFrame) -> DataFrame:
+        labelled = shared.select("key", "item").join(joined.withColumnRenamed("node", "item"), "item", "left").withColumn("component", F.coalesce("component", "item"))
+        labelled = labelled.withColumns({"low": F.min("component").over(by_key), "high": F.max("component").over(by_key)}).where("low <> high").drop("low", "high")
+        return stored(labelled.join(facts, "item"), "open-keys")
+
+    tested = shared.groupBy("item").agg(F.min("low").alias("a")).where("a <> item").select("a", F.col("item").alias("b"))
+    found = stored(verified(tested), "links")
     joined = components(found)
-    labelled = shared.select("key", "item").join(joined.withColumnRenamed("node", "item"), "item", "left").withColumn("component", F.coalesce("component", "item"))
-    labelled = labelled.withColumns({"low": F.min("component").over(by_key), "high": F.max("component").over(by_key)}).where("low <> high").drop("low", "high")
-    labelled = stored(labelled.join(facts, "item"), "open-keys")
-    x, y = (labelled.select("key", *[F.col(c).alias(f"{k}_{c}") for c in labelled.columns if c != "key"]) for k in "xy")
-    both = (F.col("x_item") < F.col("y_item")) & (F.col("x_component") != F.col("y_component")) & plausible(lambda c: F.col(f"x_{c}"), lambda c: F.col(f"y_{c}"))
-    pairs = x.withColumnRenamed("key", "x_key").join(y.withColumnRenamed("key", "y_key"), (F.col("x_key") == F.col("y_key")) & both).select(F.col("x_item").alias("a"), F.col("y_item").alias("b"))
-    more = stored(verified(pairs.distinct().join(star, ["a", "b"], "left_anti")), "more-links")
+    labelled = still_open(joined)
+    for probe in range(PROBES):
+        chosen = labelled.groupBy("key", "component").agg(F.min_by(F.struct(*names), F.xxhash64("item", F.lit(probe))).alias("x"))
+        first = chosen.groupBy("key").agg(F.min_by("x", "component").alias("y"), F.min("component").alias("low"))
+        both = chosen.join(first, "key").where((F.col("component") != F.col("low")) & plausible(lambda c: F.col("x")[c], lambda c: F.col("y")[c]))
+        pairs = both.select(F.least("x.item", "y.item").alias("a"), F.greatest("x.item", "y.item").alias("b")).distinct()
+        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "probes")
+        more = stored(verified(pairs), "probed-links")
+        tested = tested.unionByName(pairs)
+        if more.isEmpty():
+            break
+        found = found.unionByName(more)
+        joined = components(found)
+        labelled = still_open(joined)
+    x, y = (labelled.select(*[F.col(c).alias(f"{k}_{c}") for c in labelled.columns]) for k in "xy")
+    apart = (F.col("x_item") < F.col("y_item")) & (F.col("x_component") != F.col("y_component")) & plausible(lambda c: F.col(f"x_{c}"), lambda c: F.col(f"y_{c}"))
+    pairs = x.join(y, (F.col("x_key") == F.col("y_key")) & apart).select(F.col("x_item").alias("a"), F.col("y_item").alias("b"))
+    more = stored(verified(pairs.distinct().join(tested, ["a", "b"], "left_anti")), "more-links")
     return joined if more.isEmpty() else components(found.unionByName(more))
