@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import scalars as S
-from .operators import evaluation, graph, quality, search, signals
+from .operators import assembly, evaluation, graph, quality, search, signals
 from .plans import adapters as A
 from .sources import bundle
 from .streaming import sync
@@ -472,3 +472,71 @@ def pending_files(spark, d):
 def snippets(spark, d):
     own = A.sources(spark, d)
     return bundle.snippets(own, own.select(F.col("source_id").alias("key"), "source_id", F.lit(1).alias("start"), F.lit(3).alias("end")), compact=True)
+
+
+# ---- export and assembly --------------------------------------------------------------------------------------------
+
+
+@query("entity_index", A.sql("""SELECT 'ent_demo_' || substr(sha256('demo|' || 'src_' || file_path || '|' || k || '|' || name || '|' || start_line), 1, 12) AS entity_id, id AS node_id, 'src_' || file_path AS source_id, name, k AS kind, start_line AS line
+  FROM (SELECT *, CASE kind WHEN 'method' THEN 'function' ELSE kind END AS k FROM nodes WHERE file_path LIKE 'NATION%' OR file_path LIKE 'Brand%')""", "nodes"))
+def entity_index(spark, d):
+    nodes = A.nodes(spark, d)
+    files = nodes.where("file_path like 'NATION%' or file_path like 'Brand%'").select(F.col("file_path").alias("path")).distinct().withColumn("source_id", F.concat(F.lit("src_"), "path"))
+    return assembly.entity_index(nodes, files)
+
+
+@query("relation_graph", A.sql("""SELECT r.*, 'rel_demo_' || lpad(CAST(row_number() OVER (ORDER BY subject_id, predicate, object_id, line) AS VARCHAR), 7, '0') AS relation_id FROM (
+  SELECT 'e_' || source AS subject_id, 'entity' AS subject_type, edges.kind AS predicate, 'e_' || target AS object_id, 'entity' AS object_type, line FROM edges WHERE source NOT LIKE 'method%' AND target NOT LIKE 'method%') r""", "edges"))
+def relation_graph(spark, d):
+    ends = A.nodes(spark, d).where("kind <> 'method'").select(F.col("id").alias("node_id"), F.concat(F.lit("e_"), "id").alias("end_id"), F.lit("entity").alias("end_type"))
+    return assembly.ordinals(assembly.relation_graph(A.edges(spark, d), ends), "relation_id", "rel_demo_%07d", ["subject_id", "predicate", "object_id", "line"])
+
+
+@query("capped_by_file", A.sql("""SELECT file_path, id FROM (SELECT file_path, id, row_number() OVER (PARTITION BY file_path ORDER BY CASE kind WHEN 'module' THEN 0 ELSE 1 END, id) AS nth FROM nodes) WHERE nth <= 5""", "nodes"))
+def capped_by_file(spark, d):
+    return assembly.capped(A.nodes(spark, d), ["file_path"], [F.when(F.col("kind") == "module", 0).otherwise(1), "id"], 5).select("file_path", "id")
+
+
+@query("signals_for_rows", """SELECT DISTINCT l_orderkey AS case_id, p_partkey AS signal_id FROM lineitem JOIN part ON (p_partkey % 100 = l_suppkey % 100 AND p_size = l_linenumber) WHERE l_quantity > 49
+UNION SELECT l_orderkey, p_partkey FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_quantity > 49""")
+def signals_for_rows(spark, d):
+    key = lambda a, b: F.concat_ws("/", (F.col(a) % 100).cast("string"), F.col(b).cast("string"))
+    rows = A.table(spark, d, "lineitem").where("l_quantity > 49").select(F.col("l_orderkey").alias("case_id"), key("l_suppkey", "l_linenumber").alias("source_id"), F.col("l_partkey").alias("path"))
+    return assembly.signals_for_rows(rows, A.table(spark, d, "part").select(key("p_partkey", "p_size").alias("source_id"), F.col("p_partkey").alias("path"), F.col("p_partkey").alias("signal_id")))
+
+
+@query("claim_findings", """SELECT o_orderkey AS case_id, o_custkey AS signal_id, CASE WHEN c_custkey IS NULL THEN 'UNKNOWN_CLAIM_SOURCE_SIGNAL' ELSE 'CLAIM_SOURCE_SIGNAL_MISMATCH' END AS code FROM orders
+LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 7 <> 0) ON o_custkey = c_custkey WHERE c_custkey IS NULL OR o_orderkey % 5 <> c_nationkey % 5 OR c_mktsegment <> 'BUILDING'""")
+def claim_findings(spark, d):
+    claims = A.table(spark, d, "orders").select(F.col("o_orderkey").alias("case_id"), F.col("o_custkey").alias("signal_id"), (F.col("o_orderkey") % 5).alias("axis"), F.lit("BUILDING").alias("attribute"))
+    sig = A.table(spark, d, "customer").where("c_custkey % 7 <> 0").select(F.col("c_custkey").alias("signal_id"), (F.col("c_nationkey") % 5).alias("axis"), F.col("c_mktsegment").alias("attribute"))
+    return assembly.claim_findings(claims, sig)
+
+
+@query("implements_edges", """WITH m AS (SELECT DISTINCT l_suppkey AS t, p_type AS name FROM lineitem JOIN part ON l_partkey = p_partkey), i AS (SELECT DISTINCT s_nationkey AS i, p_type AS name FROM supplier JOIN part ON p_partkey % 25 = s_nationkey WHERE p_size > 40)
+SELECT t AS type, i + 100000 AS interface FROM m JOIN i USING (name) GROUP BY t, i HAVING count(*) = (SELECT count(*) FROM i x WHERE x.i = i.i)""")
+def implements_edges(spark, d):
+    t = lambda n: A.table(spark, d, n)
+    m = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_suppkey").alias("owner"), F.col("p_type").alias("name"))
+    i = t("supplier").join(t("part").where("p_size > 40"), F.col("p_partkey") % 25 == F.col("s_nationkey")).select((F.col("s_nationkey") + 100000).alias("owner"), F.col("p_type").alias("name"))
+    return assembly.implements(m, i)
+
+
+@query("rubric_atoms", """SELECT l_orderkey AS case_id, 'A' || p AS atom_id, CASE WHEN p = 1 THEN 'conclusion' ELSE 'support' END AS role, CASE WHEN p = 1 THEN 2.0 ELSE 1.0 END::DOUBLE AS weight, CASE WHEN l_orderkey % 3 = 0 AND p > 1 THEN 'A' || (p - 1) END AS depends_on
+FROM (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber) AS p FROM lineitem)""")
+def rubric_atoms(spark, d):
+    from pyspark.sql import Window
+
+    nth = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_partkey", "l_suppkey", "l_linenumber"))
+    return assembly.rubric_atoms(A.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("case_id"), F.when(F.col("l_orderkey") % 3 == 0, "L3").otherwise("L1").alias("layer"), nth.alias("position")))
+
+
+@query("case_coverage", """SELECT k AS case_id, concat_ws(',', CASE WHEN max(a) = 0 THEN 'candidates' END, CASE WHEN max(b) = 0 THEN 'claims' END) AS missing FROM (SELECT o_orderkey AS k, 1 AS a, 0 AS b FROM orders UNION ALL SELECT l_orderkey, 0, 1 FROM lineitem WHERE l_quantity > 30) GROUP BY 1""")
+def case_coverage(spark, d):
+    return assembly.case_coverage({"candidates": A.table(spark, d, "orders").select(F.col("o_orderkey").alias("case_id")), "claims": A.table(spark, d, "lineitem").where("l_quantity > 30").select(F.col("l_orderkey").alias("case_id"))})
+
+
+@query("adversarial_outcomes", """SELECT doc_id AS key, CASE WHEN trim(substr(text, 1, 60), ' ') = '' THEN 'inconclusive' WHEN len(list_intersect(regexp_extract_all(lower(substr(text, 1, 60)), '[a-z_][a-z0-9_]{2,}'), regexp_extract_all(lower(text), '[a-z_][a-z0-9_]{2,}'))) > 0 THEN 'succeeded' ELSE 'failed' END AS outcome FROM documents""")
+def adversarial_outcomes(spark, d):
+    docs = A.table(spark, d, "documents")
+    return docs.select(F.col("doc_id").alias("key"), assembly.outcome(F.substring("text", 1, 60), F.col("text"), F.lit(False)).alias("outcome"))
