@@ -6,8 +6,9 @@ joined bytes; pairs are hashed to buckets of that map, since a lookup reads its
 itself is never split, as in the library that defines the format.
 
 ``encode`` counts words over all documents, folds the ``hot`` most frequent ones once, and gives them to the tasks as a
-dictionary of bounded size. Words outside it are folded where they occur, once for each step of documents. The
-dictionary only saves time: results do not depend on it. Nothing but the word counts is shuffled.
+dictionary of bounded size. Words outside it are folded where they occur, once in each task: the task's two Python ends
+see the same rows in the same order, so the first sends a rare word once and the second keeps its ids. Dictionary and
+memory only save time: results do not depend on them. Nothing but the word counts is shuffled.
 
 Words are the matches of the splitting pattern ``public_tokenizers.PATTERN``, found by class runs over code points.
 
@@ -32,6 +33,8 @@ from ._common import map_text, ship
 
 #: Words in the dictionary of frequent words.
 HOT = 1 << 19
+#: Rare words that a task remembers before it starts anew.
+REMEMBERED = 1 << 20
 BUCKETS = 1 << 16
 #: Vocabularies are bounded so that a pair of ids fits one key.
 MOST_IDS = 1 << 16
@@ -221,30 +224,39 @@ def dictionary(docs: DataFrame, vocabulary: Vocabulary, text: str, hot: int) ->
 
 
 def _steps(docs: DataFrame, id_col: str, text: str, sent) -> DataFrame:
-    """A row for each step of documents: ids, word rows (negative: into ``rare``) and the byte values of rare words."""
+    """A row for each step of documents: ids, word rows (negative: into the task's rare words) and the byte values of new
+    rare words; ``anew`` where the task's rare words start again with this row."""
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = docs.schema[id_col].dataType
-    schema = pa.schema([("ids", pa.list_(to_arrow_type(kind))), ("rows", pa.binary()), ("bounds", pa.binary()), ("rare", pa.list_(pa.list_(pa.int32())))])
+    schema = pa.schema([("ids", pa.list_(to_arrow_type(kind))), ("rows", pa.binary()), ("bounds", pa.binary()), ("anew", pa.bool_()), ("rare", pa.list_(pa.list_(pa.int32())))])
 
     def run(batches):
         hot = sent.value
+        seen: dict[int, int] = {}
         for batch in batches:
             for part, flat, offsets in _text.steps(batch, "text"):
                 starts, bound = words(flat, offsets)
                 hashes, first, which, _ = _hash_words(flat, starts)
                 rows = hot.rows(hashes)
                 rare = np.flatnonzero(rows < 0)
-                rows[rare] = -1 - np.arange(len(rare))
-                where, ends = _text.ragged(starts, first[rare]) if len(rare) else (np.zeros(0, np.int64), np.zeros(1, np.int64))
+                if len(seen) > REMEMBERED:
+                    seen.clear()
+                anew, new = not seen, []
+                for i, h in zip(rare.tolist(), hashes[rare].tolist()):
+                    if h not in seen:
+                        seen[h] = len(seen)
+                        new.append(i)
+                rows[rare] = [-1 - seen[h] for h in hashes[rare].tolist()]
+                where, ends = _text.ragged(starts, first[new]) if new else (np.zeros(0, np.int64), np.zeros(1, np.int64))
                 inner = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat[where].astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part.column(0).to_pylist()], schema.field(0).type), pa.array([rows[which].astype(np.int32).tobytes()], pa.binary()), pa.array([bound.astype(np.int64).tobytes()], pa.binary()), pa.ListArray.from_arrays(pa.array([0, len(inner)], pa.int32()), inner)],
+                    [pa.array([part.column(0).to_pylist()], schema.field(0).type), pa.array([rows[which].astype(np.int32).tobytes()], pa.binary()), pa.array([bound.astype(np.int64).tobytes()], pa.binary()), pa.array([anew]), pa.ListArray.from_arrays(pa.array([0, len(inner)], pa.int32()), inner)],
                     schema=schema,
                 )
 
-    ddl = f"ids array<{kind.simpleString()}>, rows binary, bounds binary, rare array<array<int>>"
+    ddl = f"ids array<{kind.simpleString()}>, rows binary, bounds binary, anew boolean, rare array<array<int>>"
     return docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).mapInArrow(run, ddl)
 
 
@@ -257,22 +269,25 @@ def tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text
     vocabulary = Vocabulary(path)
     sent = spark.sparkContext.broadcast(dictionary(docs, vocabulary, text, hot))
     pieces = spark.sparkContext.broadcast(vocabulary.pieces)
-    made = _steps(docs, id_col, text, sent).select("ids", "rows", "bounds", F.transform("rare", vocabulary.merge).alias("rare"))
+    made = _steps(docs, id_col, text, sent).select("ids", "rows", "bounds", "anew", F.transform("rare", vocabulary.merge).alias("rare"))
     kind = docs.schema[id_col].dataType
     ddl = f"doc_id {kind.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids + ", decoded binary" * with_text
     arrow = to_arrow_type(kind)
 
     def run(batches):
         hot_words, decode = sent.value, Decoder(pieces.value)
+        counts, rare_ids = np.zeros(0, np.int64), np.zeros(0, np.int32)
         for batch in batches:
             for i in range(batch.num_rows):
                 docs_of = batch.column(0)[i].values
                 rows = np.frombuffer(batch.column(1)[i].as_py(), dtype=np.int32).astype(np.int64)
                 bounds = np.frombuffer(batch.column(2)[i].as_py(), dtype=np.int64)
-                rare = batch.column(3)[i].values
-                rare_ends = np.concatenate([[0], np.cumsum(np.diff(rare.offsets.to_numpy()))])
-                rare_ids = rare.flatten().to_numpy()
-                ends = np.concatenate([hot_words.ends, hot_words.ends[-1] + rare_ends[1:]])
+                rare = batch.column(4)[i].values
+                if batch.column(3)[i].as_py():
+                    counts, rare_ids = np.zeros(0, np.int64), np.zeros(0, np.int32)
+                counts = np.concatenate([counts, np.diff(rare.offsets.to_numpy())])
+                rare_ids = np.concatenate([rare_ids, rare.flatten().to_numpy()])
+                ends = np.concatenate([hot_words.ends, hot_words.ends[-1] + np.cumsum(counts)])
                 where, by_word = _text.ragged(ends, np.where(rows < 0, len(hot_words.hashes) - 1 - rows, rows))
                 ids = np.concatenate([hot_words.ids, rare_ids])[where]
                 at = by_word[bounds]
