@@ -100,6 +100,23 @@ def test_line_dedup(spark):
     assert line_dedup.dedup(docs.limit(0)).count() == 0
 
 
+def test_line_dedup_changed_words(spark):
+    """Lines of all lengths with a word or a letter changed link as edit similarity alone has it."""
+    r, texts = random.Random(11), []
+    for n in (4, 6, 10, 20, 30, 50, 100):
+        for k in range(8):
+            words = prose(3000 + 10 * n + k, n).split(" ")
+            other, typo = list(words), list(words)
+            other[r.randrange(n)] = r.choice(WORDS)
+            at = r.randrange(n)
+            typo[at] = "q" + typo[at][1:]
+            texts += [" ".join(words), " ".join(other), " ".join(typo)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    want = line_dedup.brute_force(list(enumerate(texts)))
+    assert len(want) > 90
+    assert {x["doc"]: list(x["drop"]) for x in line_dedup.dropped(docs).collect()} == want
+
+
 def test_byte_bpe(spark, docs):
     import tiktoken
 
