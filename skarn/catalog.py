@@ -226,14 +226,23 @@ lo AS (SELECT ref_id, id AS target, 3, 'fuzzy', CASE WHEN r.language = n.languag
 SELECT ref_id, target, strategy, CAST(confidence AS DOUBLE) AS confidence FROM (SELECT * FROM ex UNION ALL SELECT * FROM qu UNION ALL SELECT * FROM lo)
 QUALIFY row_number() OVER (PARTITION BY ref_id ORDER BY priority, confidence DESC, target) = 1""", "nodes"))
 def resolve_references(spark, d):
+    return _resolved(spark, d, "p_partkey % 50 = 0", "c_custkey % 10 = 0")
+
+
+def _resolved(spark, d, parts="true", customers="true"):
     t = lambda n: A.table(spark, d, n)
     s = lambda p, k: F.concat(F.lit(p), F.col(k).cast("string")).alias("ref_id")
-    refs = t("part").where("p_partkey % 50 = 0").select(s("a", "p_partkey"), F.col("p_name").alias("name"), F.lit("ECONOMY").alias("language"), F.col("p_brand").alias("file_path"))
+    refs = t("part").where(parts).select(s("a", "p_partkey"), F.col("p_name").alias("name"), F.lit("ECONOMY").alias("language"), F.col("p_brand").alias("file_path"))
     refs = refs.unionByName(t("supplier").select(s("b", "s_suppkey"), F.concat(F.lit("NATION_"), F.col("s_nationkey").cast("string"), F.lit("::"), "s_name").alias("name"), F.lit("SUPPLIER").alias("language"), F.lit("").alias("file_path")))
-    refs = refs.unionByName(t("customer").where("c_custkey % 10 = 0").select(s("c", "c_custkey"), F.lower("c_name").alias("name"), F.col("c_mktsegment").alias("language"), F.lit("").alias("file_path")))
+    refs = refs.unionByName(t("customer").where(customers).select(s("c", "c_custkey"), F.lower("c_name").alias("name"), F.col("c_mktsegment").alias("language"), F.lit("").alias("file_path")))
     return search.resolve(refs, A.nodes(spark, d))
 
 
+@query("resolve_references_all", _SQL["resolve_references"].replace(" WHERE p_partkey % 50 = 0", "").replace(" WHERE c_custkey % 10 = 0", ""))
+def resolve_references_all(spark, d):
+    return _resolved(spark, d)
+
+
 @query("name_bonus", A.sql("""SELECT DISTINCT name, CAST(CASE WHEN lower(name) = 'redwidget' THEN 80 WHEN lower(name) IN ('red', 'widget') THEN 60 WHEN starts_with(lower(name), 'redwidget') THEN floor(10 + 30 * (9.0 / length(name)) + 0.5)
   WHEN contains(lower(name), 'red') AND contains(lower(name), 'widget') THEN 15 WHEN contains(lower(name), 'redwidget') THEN 10 ELSE 0 END AS INT) AS bonus FROM nodes WHERE kind = 'function'""", "nodes"))
 def name_bonus(spark, d):
