@@ -390,8 +390,16 @@ def sampled_signals(spark, d):
 p AS (SELECT DISTINCT a.s AS anchor, b.s AS neighbour FROM r a JOIN r b ON a.o = b.o AND a.s <> b.s)
 SELECT anchor, neighbour, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY neighbour) AS rank FROM p) WHERE rank <= 3""")
 def two_hop_neighbours(spark, d):
-    rel = A.table(spark, d, "lineitem").where("l_quantity > 40 and l_partkey % 5 = 0").select(F.col("l_suppkey").alias("subject_id"), F.col("l_partkey").alias("object_id"), F.lit("imports_or_includes").alias("predicate")).distinct()
-    return signals.two_hops(rel)
+    return signals.two_hops(_supplies(spark, d).where("l_quantity > 40 and object_id % 5 = 0"))
+
+
+def _supplies(spark, d):
+    return A.table(spark, d, "lineitem").select("l_quantity", F.col("l_suppkey").alias("subject_id"), F.col("l_partkey").alias("object_id"), F.lit("imports_or_includes").alias("predicate"))
+
+
+@query("two_hop_neighbours_all", _SQL["two_hop_neighbours"].replace(" WHERE l_quantity > 40 AND l_partkey % 5 = 0", ""))
+def two_hop_neighbours_all(spark, d):
+    return signals.two_hops(_supplies(spark, d))
 
 
 # ---- quality --------------------------------------------------------------------------------------------------------

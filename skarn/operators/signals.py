@@ -108,9 +108,16 @@ def picked(signals: DataFrame, cases: DataFrame, per_case: int = 3, stride: int
 
 
 def two_hops(relations: DataFrame, includes: tuple = ("imports_or_includes",), most: int = 3) -> DataFrame:
-    """(anchor, neighbour, rank): other subjects sharing an object with each subject, mentions first, at most ``most``."""
+    """(anchor, neighbour, rank): other subjects sharing an object with each subject, mentions first, at most ``most``.
+
+    A neighbour that ``most`` smaller others of an object precede cannot be among the first, so each object offers only
+    its ``most + 1`` smallest subjects, one of which may be the anchor.
+    """
     own = relations.select(F.col("subject_id").alias("anchor"), "object_id", F.when(F.col("predicate") == "doc_mentions_entity", 0).otherwise(1).alias("priority"))
-    other = relations.select(F.col("subject_id").alias("neighbour"), "object_id")
+    smallest = Window.partitionBy("object_id").orderBy("neighbour")
+    other = relations.select(F.col("subject_id").alias("neighbour"), "object_id").where("neighbour is not null").distinct()
+    other = other.withColumn("nth", F.row_number().over(smallest)).where(F.col("nth") <= most + 1).drop("nth")
+    own = own.groupBy("anchor", "object_id").agg(F.min("priority").alias("priority"))
     found = own.join(other, "object_id").where("anchor <> neighbour").groupBy("anchor", "neighbour").agg(F.min("priority").alias("priority"))
     by = Window.partitionBy("anchor").orderBy("priority", "neighbour")
     return found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= most).select("anchor", "neighbour", "rank")
