@@ -497,18 +497,36 @@ def snippets(spark, d):
 @query("entity_index", A.sql("""SELECT 'ent_demo_' || substr(sha256('demo|' || 'src_' || file_path || '|' || k || '|' || name || '|' || start_line), 1, 12) AS entity_id, id AS node_id, 'src_' || file_path AS source_id, name, k AS kind, start_line AS line
   FROM (SELECT *, CASE kind WHEN 'method' THEN 'function' ELSE kind END AS k FROM nodes WHERE file_path LIKE 'NATION%' OR file_path LIKE 'Brand%')""", "nodes"))
 def entity_index(spark, d):
+    return _entities(spark, d, "path like 'NATION%' or path like 'Brand%'")
+
+
+def _entities(spark, d, tracked="true"):
     nodes = A.nodes(spark, d)
-    files = nodes.where("file_path like 'NATION%' or file_path like 'Brand%'").select(F.col("file_path").alias("path")).distinct().withColumn("source_id", F.concat(F.lit("src_"), "path"))
+    files = nodes.select(F.col("file_path").alias("path")).where(tracked).distinct().withColumn("source_id", F.concat(F.lit("src_"), "path"))
     return assembly.entity_index(nodes, files)
 
 
+@query("entity_index_all", _SQL["entity_index"].replace(" WHERE file_path LIKE 'NATION%' OR file_path LIKE 'Brand%'", ""))
+def entity_index_all(spark, d):
+    return _entities(spark, d)
+
+
 @query("relation_graph", A.sql("""SELECT r.*, 'rel_demo_' || lpad(CAST(row_number() OVER (ORDER BY subject_id, predicate, object_id, line) AS VARCHAR), 7, '0') AS relation_id FROM (
   SELECT 'e_' || source AS subject_id, 'entity' AS subject_type, edges.kind AS predicate, 'e_' || target AS object_id, 'entity' AS object_type, line FROM edges WHERE source NOT LIKE 'method%' AND target NOT LIKE 'method%') r""", "edges"))
 def relation_graph(spark, d):
-    ends = A.nodes(spark, d).where("kind <> 'method'").select(F.col("id").alias("node_id"), F.concat(F.lit("e_"), "id").alias("end_id"), F.lit("entity").alias("end_type"))
+    return _relations(spark, d, "kind <> 'method'")
+
+
+def _relations(spark, d, kinds="true"):
+    ends = A.nodes(spark, d).where(kinds).select(F.col("id").alias("node_id"), F.concat(F.lit("e_"), "id").alias("end_id"), F.lit("entity").alias("end_type"))
     return assembly.ordinals(assembly.relation_graph(A.edges(spark, d), ends), "relation_id", "rel_demo_%07d", ["subject_id", "predicate", "object_id", "line"])
 
 
+@query("relation_graph_all", _SQL["relation_graph"].replace(" WHERE source NOT LIKE 'method%' AND target NOT LIKE 'method%'", ""))
+def relation_graph_all(spark, d):
+    return _relations(spark, d)
+
+
 @query("capped_by_file", A.sql("""SELECT file_path, id FROM (SELECT file_path, id, row_number() OVER (PARTITION BY file_path ORDER BY CASE kind WHEN 'module' THEN 0 ELSE 1 END, id) AS nth FROM nodes) WHERE nth <= 5""", "nodes"))
 def capped_by_file(spark, d):
     return assembly.capped(A.nodes(spark, d), ["file_path"], [F.when(F.col("kind") == "module", 0).otherwise(1), "id"], 5).select("file_path", "id")

@@ -47,3 +47,10 @@ def test_two_hops_of_all_order_lines(spark):
         others.setdefault(s, set()).update(suppliers[p] - {s})
     want = {(s, b, n + 1) for s, found in others.items() for n, b in enumerate(sorted(found)[:3])}
     assert {tuple(x) for x in run(spark, "two_hop_neighbours_all").collect()} == want
+
+
+def test_all_relations_and_entities(spark):
+    got = {r["predicate"]: r["n"] for r in run(spark, "relation_graph_all").groupBy("predicate").agg(F.count("*").alias("n")).collect()}
+    n = {t: table(spark, t).count() for t in ("lineitem", "orders", "nation", "customer", "supplier", "region", "part")}
+    assert got == {"calls": n["lineitem"], "instantiates": n["lineitem"], "references": n["orders"], "contains": n["nation"] + n["customer"] + n["supplier"]}
+    assert run(spark, "entity_index_all").count() == sum(n[t] for t in ("region", "nation", "customer", "supplier", "part", "orders"))
