@@ -2,8 +2,11 @@
 
 Three base patterns find assignments, access keys and long hexadecimal runs. Beside them, every run of 16 or more
 key-like characters is scored by two first-order character models, one of random strings and one of ordinary
-identifiers: the sum over its characters of the logarithm of the two transition probabilities' ratio. Runs whose mean
-ratio reaches ``least`` and that no base span overlaps are spans of kind ``markov``.
+identifiers: the sum over its characters of the logarithm of the two transition probabilities' ratio. What base spans
+leave of a run is scored by itself where it has 16 characters. If the mean ratio reaches ``least``, all of it is a span of
+kind ``markov``; else its stretches are, of 16 characters or more, from where the sum of ratios less ``least`` rises to
+its peak, a stretch ending where that sum is used up or falls by ``DROP`` from its peak. So a name or path before a value
+does not hide it.
 
 The models are counted from labelled samples, (text, random) rows, with add-one smoothing over character classes; the
 counts of 65 x 65 transitions are all that reaches the driver. ``default_samples`` makes samples: digests in several
@@ -33,6 +36,9 @@ RUN = r"[A-Za-z0-9+/_=-]{16,}+"
 KINDS = ("assign", "access", "hex", "markov")
 #: Mean log-likelihood ratio, in nats a character, from which a run counts as random.
 LEAST_RATIO = 0.45
+LEAST_RUN = 16
+#: A fall from the peak, in nats, that ends a stretch.
+DROP = 8.0
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
 _SIZE = len(ALPHABET) + 1  # all other characters are one class
 
@@ -88,13 +94,47 @@ def train(samples: DataFrame) -> list[float]:
     return out
 
 
-def ratio(run: Column, model: list[float]) -> Column:
-    """Mean log-likelihood ratio a character."""
+def stretches(run: Column, model: list[float], least: float) -> Column:
+    """(start, end) within ``run``: all of it where its mean ratio reaches ``least``, else its stretches that do."""
     table = F.array(*[F.lit(round(x, 6)) for x in model])
-    classes = F.transform(F.split(run, ""), _class)
-    start = F.struct(F.lit(-1).alias("last"), F.lit(0.0).alias("sum"))
-    score = F.aggregate(classes, start, lambda a, c: F.struct(c.alias("last"), (a["sum"] + F.when(a["last"] >= 0, F.get(table, a["last"] * _SIZE + c)).otherwise(0.0)).alias("sum")), lambda a: a["sum"])
-    return score / F.greatest(F.length(run) - 1, F.lit(1))
+    kind = "array<struct<start:int,end:int>>"
+    one = lambda start, end: F.array(F.struct(start.cast("int").alias("start"), end.cast("int").alias("end")))
+    start = F.struct(F.lit(-1).alias("last"), F.lit(0).alias("at"), F.lit(0.0).alias("total"), F.lit(0.0).alias("now"), F.lit(0.0).alias("peak"), F.lit(0).alias("start"), F.lit(0).alias("end"), F.array().cast(kind).alias("out"))
+
+    def flushed(a: Column) -> Column:
+        return F.when(a["end"] - a["start"] >= LEAST_RUN, F.concat(a["out"], one(a["start"], a["end"]))).otherwise(a["out"])
+
+    def step(a: Column, c: Column) -> Column:
+        x = F.when(a["last"] >= 0, F.get(table, a["last"] * _SIZE + c)).otherwise(0.0)
+        over = (a["now"] <= 0) | (a["now"] < a["peak"] - DROP)
+        begin = F.when(over, F.greatest(a["at"] - 1, F.lit(0))).otherwise(a["start"])
+        before, peak = F.when(over, 0.0).otherwise(a["now"]), F.when(over, 0.0).otherwise(a["peak"])
+        now = before + F.when(a["last"] >= 0, x - least).otherwise(0.0)
+        end = F.when(now > peak, a["at"] + 1).when(over, begin).otherwise(a["end"])
+        out = F.when(over, flushed(a)).otherwise(a["out"])
+        return F.struct(c.alias("last"), (a["at"] + 1).alias("at"), (a["total"] + x).alias("total"), now.alias("now"), F.greatest(now, peak).alias("peak"), begin.alias("start"), end.alias("end"), out.alias("out"))
+
+    def finish(a: Column) -> Column:
+        return F.when(a["total"] / F.greatest(a["at"] - 1, F.lit(1)) >= least, one(F.lit(0), a["at"])).otherwise(flushed(a))
+
+    return F.aggregate(F.transform(F.split(run, ""), _class), start, step, finish)
+
+
+def _left(run: Column, covered: Column) -> Column:
+    """(start, end, match) of what the spans ``covered``, by start, leave of a run, of LEAST_RUN characters or more."""
+    kind = "array<struct<start:int,end:int,match:string>>"
+    piece = lambda start, end: F.array(F.struct(start.alias("start"), end.alias("end"), F.substring(run["match"], start - run["start"] + 1, end - start).alias("match")))
+    hits = F.filter(covered, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+    begin = F.struct(run["start"].alias("at"), F.array().cast(kind).alias("out"))
+
+    def step(a: Column, b: Column) -> Column:
+        out = F.when(b["start"] - a["at"] >= LEAST_RUN, F.concat(a["out"], piece(a["at"], b["start"]))).otherwise(a["out"])
+        return F.struct(F.greatest(a["at"], b["end"]).alias("at"), out.alias("out"))
+
+    def finish(a: Column) -> Column:
+        return F.when(run["end"] - a["at"] >= LEAST_RUN, F.concat(a["out"], piece(a["at"], run["end"]))).otherwise(a["out"])
+
+    return F.aggregate(hits, begin, step, finish)
 
 
 def places(text: Column, pattern: str, found: Column) -> Column:
@@ -120,10 +160,10 @@ def spans(docs: DataFrame, model: list[float], id_col: str = "doc_id", text: str
     placed = found.select("doc_id", *[places(F.col("t"), p, F.col(f"m_{k}")).alias(k) for k, p in patterns.items()])
     value = lambda m: F.length(F.regexp_extract(m, f"^(?:{ASSIGN})", 2)) >= LEAST_VALUE
     placed = placed.withColumn("assign", F.filter("assign", lambda s: value(s["match"])))
-    covered = F.concat("assign", "access", "hex")
-    free = F.filter("markov", lambda s: ~F.exists(covered, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    scored = placed.withColumn("markov", free)
-    return scored.withColumn("markov", F.filter("markov", lambda s: ratio(s["match"], model) >= least))
+    placed = placed.withColumn("covered", F.array_sort(F.concat("assign", "access", "hex")))
+    free = placed.withColumn("markov", F.flatten(F.transform("markov", lambda s: _left(s, F.col("covered"))))).drop("covered")
+    part = lambda s, x: F.struct((s["start"] + x["start"]).alias("start"), (s["start"] + x["end"]).alias("end"), F.substring(s["match"], x["start"] + 1, x["end"] - x["start"]).alias("match"))
+    return free.withColumn("markov", F.flatten(F.transform("markov", lambda s: F.transform(stretches(s["match"], model, least), lambda x: part(s, x)))))
 
 
 def listed(kinds: tuple) -> Column:
@@ -156,8 +196,27 @@ def brute_force(text: str | None, model: list[float], least: float = LEAST_RATIO
     out += [("hex", m.start(), m.end()) for m in re.finditer(r"[0-9a-f]+", t) if len(m[0]) >= 24]
     base = list(out)
     for m in re.finditer(r"[A-Za-z0-9+/_=-]+", t):
-        if len(m[0]) >= 16 and not any(s < m.end() and m.start() < e for _, s, e in base):
-            c = [ALPHABET.find(x) if x in ALPHABET else _SIZE - 1 for x in m[0]]
-            if sum(round(model[a * _SIZE + b], 6) for a, b in zip(c, c[1:])) / (len(c) - 1) >= least:
-                out.append(("markov", m.start(), m.end()))
+        if len(m[0]) < LEAST_RUN:
+            continue
+        at = m.start()
+        for start, end in [*((s, e) for s, e in sorted(b[1:] for b in base) if s < m.end() and m.start() < e), (m.end(), m.end())]:
+            if start - at >= LEAST_RUN:
+                out += [("markov", at + a, at + b) for a, b in _stretches(t[at:start], model, least)]
+            at = max(at, end)
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
+
+
+def _stretches(run: str, model: list[float], least: float) -> list[tuple]:
+    c = [ALPHABET.find(x) if x in ALPHABET else _SIZE - 1 for x in run]
+    ratios = [round(model[a * _SIZE + b], 6) for a, b in zip(c, c[1:])]
+    if sum(ratios) / len(ratios) >= least:
+        return [(0, len(run))]
+    out, now, peak, start, end = [], 0.0, 0.0, 0, 0
+    for i, x in enumerate(ratios):
+        if now <= 0 or now < peak - DROP:
+            out.append((start, end))
+            now, peak, start, end = 0.0, 0.0, i, i
+        now += x - least
+        if now > peak:
+            peak, end = now, i + 2
+    return [(a, b) for a, b in [*out, (start, end)] if b - a >= LEAST_RUN]
