@@ -45,7 +45,7 @@ def op5_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, parts = token_files.write(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, vocabulary=49_408)
+    path, parts = token_files.write(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, vocabulary=49_408, added=True)
     return token_files.read(spark, path, parts)
 
 

@@ -14,6 +14,9 @@ Encoding calls the tokenizers library once for each distinct piece that a worker
 and between an ASCII letter or digit and ASCII punctuation other than the apostrophe, where neither the normaliser nor
 the splitting pattern of the vocabulary looks across. For vocabularies that do look across, pass ``pieces=False``.
 
+With ``added``, the literal of an added token in a text is that token, as by the library's default, and a text that holds
+the first two characters of one is encoded whole; without it, such literals are ordinary text.
+
 Defined results: a null text is empty and holds the end id alone. Repeated ids stay separate documents, ordered by their
 text. Rows with a null id come first. An empty table makes an empty data set. Extra columns are ignored.
 """
@@ -45,13 +48,14 @@ _encoders: dict[tuple, Encoder] = {}
 class Encoder:
     """Encodes steps of documents with a tokenizers file, remembering pieces."""
 
-    def __init__(self, path: str, pieces: bool = True):
+    def __init__(self, path: str, pieces: bool = True, added: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
         self.pieces = pieces
+        self.signs = {t.content[:2].lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()} if added and pieces else set()
         self._clear()
 
     def _clear(self):
@@ -74,6 +78,22 @@ class Encoder:
 
     def __call__(self, flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents and their offsets."""
+        low = flat.tobytes().lower() if self.signs else b""
+        if not any(x in low for x in self.signs):
+            return self._encoded(flat, offsets)
+        out, counts = [], []
+        for d in range(len(offsets) - 1):
+            a, b = int(offsets[d]), int(offsets[d + 1])
+            if any(x in low[a:b] for x in self.signs):
+                text = flat[a:b].tobytes().decode()
+                ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+            else:
+                ids, _ = self._encoded(flat[a:b], np.array([0, b - a]))
+            out.append(ids)
+            counts.append(len(ids))
+        return np.concatenate(out), np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+
+    def _encoded(self, flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not self.pieces:
             raw = flat.tobytes()
             self._clear()
@@ -98,10 +118,10 @@ class Encoder:
         return self.flat[where], by_piece[bound]
 
 
-def encoder(path: str, pieces: bool = True) -> Encoder:
-    if (path, pieces) not in _encoders:
-        _encoders[path, pieces] = Encoder(path, pieces)
-    return _encoders[path, pieces]
+def encoder(path: str, pieces: bool = True, added: bool = False) -> Encoder:
+    if (path, pieces, added) not in _encoders:
+        _encoders[path, pieces, added] = Encoder(path, pieces, added)
+    return _encoders[path, pieces, added]
 
 
 def _put(fs, path: str, data: bytes) -> None:
@@ -111,7 +131,7 @@ def _put(fs, path: str, data: bytes) -> None:
     fs.move(part, path)
 
 
-def write(docs: DataFrame, tokenizer: str, end_id: int | None, path: str | None = None, id_col: str = "doc_id", text: str = "text", vocabulary: int = 1 << 16, part_bytes: int = PART_BYTES, pieces: bool = True) -> tuple[str, list[dict]]:
+def write(docs: DataFrame, tokenizer: str, end_id: int | None, path: str | None = None, id_col: str = "doc_id", text: str = "text", vocabulary: int = 1 << 16, part_bytes: int = PART_BYTES, pieces: bool = True, added: bool = False) -> tuple[str, list[dict]]:
     """Write a data set; returns its folder and its parts in order, each {part, documents, tokens, base, width}."""
     from pyarrow.fs import FileSystem
 
@@ -132,7 +152,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int | None, path: str | None
     schema = pa.schema([("part", pa.int32()), ("documents", pa.int64()), ("tokens", pa.int64())])
 
     def run(batches):
-        encode = encoder(tokenizer, pieces)
+        encode = encoder(tokenizer, pieces, added)
         fs, top = FileSystem.from_uri(path)
         fs.create_dir(top, recursive=True)
         now, out, name, ids, counts = None, None, "", [], []

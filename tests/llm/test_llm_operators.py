@@ -163,6 +163,21 @@ def test_token_files(spark, docs):
     assert token_files.read(spark, where, parts).count() == 0
 
 
+def test_token_files_as_the_query_has_them(spark, tmp_path):
+    """Literals of added tokens as by an unmodified tokenizer."""
+    from tokenizers import Tokenizer
+
+    from skarn.llm import queries
+
+    library = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    texts = [*HARD, "hello <|endoftext|> world", "a<|startoftext|>b", "x <| y <|ENDOFTEXT|>", "plain words, here"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in queries.op6_token_files(spark, str(tmp_path)).collect()}
+    for i, t in enumerate(texts):
+        ids = np.array([*library.encode(t or "", add_special_tokens=False).ids, 1], dtype="<u4")
+        assert got[i] == (len(ids), zlib.crc32(ids.tobytes())), t
+
+
 def test_media(spark, docs):
     for r in media_boxes.columns(docs, with_media=True).collect():
         raw = (dict(pairs(docs))[r["doc_id"]] or "").encode()
