@@ -278,6 +278,15 @@ def test_toxicity(spark):
     assert {x["score"] for x in toxicity.score(docs, none).collect()} == {0.0}
 
 
+def test_toxicity_sample_passes_over_long_texts(spark):
+    """Texts over the bound leave room for the rows after them."""
+    rows = [(i, ("vileman " if i % 2 else "") + prose(7000 + i, 20), i % 2) for i in range(60)] + [(i, prose(i, 9000), 1) for i in range(100, 140)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, b) for i, _, b in rows], "doc_id bigint, toxic int")
+    model = toxicity.train(docs, labels, most_bytes=50_000)
+    assert any(x["score"] > 0 for x in toxicity.score(docs.limit(20), model).collect())
+
+
 def test_pipeline(spark):
     import corpus_pipeline as c
 
