@@ -54,6 +54,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_stored(*tables: DataFrame) -> None:
+    """Delete tables of ``stored`` that nothing reads any more, and let the driver free the shuffle files behind them."""
+    for df in tables:
+        folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+        for folder in folders:
+            if "/skarn-" in folder:
+                drop_path(df.sparkSession, folder)
+    if tables:
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder, for small tables inside iterations."""
     shared_dir(df.sparkSession)
