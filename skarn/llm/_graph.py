@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import checkpointed, stored
+from ._common import checkpointed, drop_stored, stored
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -43,30 +43,39 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 PROBES = 3
 
 
-def cluster_by_keys(keys: DataFrame, verified: Callable[[DataFrame], DataFrame], facts: DataFrame, plausible: Callable[[Callable[[str], Column], Callable[[str], Column]], Column]) -> DataFrame:
+def with_low(keys: DataFrame) -> DataFrame:
+    """(key, item, low) of the keys that several items have, ``low`` the smallest of them.
+
+    The aggregate combines before its shuffle, so a key that very many rows share costs no task more than others."""
+    several = keys.groupBy("key").agg(F.min("item").alias("low"), F.max("item").alias("high")).where("low <> high").drop("high")
+    return keys.join(several, "key").select("key", "item", "low")
+
+
+def cluster_by_keys(shared: DataFrame, verified: Callable[[DataFrame], DataFrame], facts: DataFrame, plausible: Callable[[Callable[[str], Column], Callable[[str], Column]], Column], probes: int = PROBES) -> DataFrame:
     """(node, component) of the items that ``verified`` links among those sharing a key.
 
-    ``keys`` has distinct (key, item) rows, ``facts`` a row for each item. Each item is first compared with the smallest
-    item of its keys. Where a key's items are still of several components, one item of each is compared with one of the
-    first component, in a few rounds with other items. Last, all items of different components that share a key are
-    compared if ``plausible`` holds between the facts of both. So a group of copies costs about one comparison each, and
-    no link is lost that could join two components.
+    ``shared`` is a stored table of distinct (key, item, low) rows as by ``with_low``, ``facts`` has a row for each item.
+    Each item is first compared with the smallest item of its keys. Where a key's items are still of several components,
+    one item of each is compared with one of the first component, in a few rounds with other items. Last, all items of
+    different components that share a key are compared if ``plausible`` holds between the facts of both. So a group of
+    copies costs about one comparison each, and no link is lost that could join two components.
     """
-    by_key = Window.partitionBy("key")
-    shared = keys.withColumns({"low": F.min("item").over(by_key), "high": F.max("item").over(by_key)}).where("low <> high").select("key", "item", "low")
-    shared = stored(shared, "shared-keys")
     names = ["item", *[c for c in facts.columns if c != "item"]]
 
     def still_open(joined: DataFrame) -> DataFrame:
         labelled = shared.select("key", "item").join(joined.withColumnRenamed("node", "item"), "item", "left").withColumn("component", F.coalesce("component", "item"))
-        labelled = labelled.withColumns({"low": F.min("component").over(by_key), "high": F.max("component").over(by_key)}).where("low <> high").drop("low", "high")
-        return stored(labelled.join(facts, "item"), "open-keys")
+        several = labelled.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("key")
+        return stored(labelled.join(several, "key", "left_semi").join(facts, "item"), "open-keys")
 
-    tested = shared.groupBy("item").agg(F.min("low").alias("a")).where("a <> item").select("a", F.col("item").alias("b"))
+    tested = stored(shared.where("low <> item").select(F.col("low").alias("a"), F.col("item").alias("b")).distinct(), "pairs")
     found = stored(verified(tested), "links")
     joined = components(found)
     labelled = still_open(joined)
-    for probe in range(PROBES):
+    garbage = [tested]
+    for probe in range(probes):
+        if labelled.isEmpty():
+            drop_stored(labelled, *garbage)
+            return joined
         chosen = labelled.groupBy("key", "component").agg(F.min_by(F.struct(*names), F.xxhash64("item", F.lit(probe))).alias("x"))
         first = chosen.groupBy("key").agg(F.min_by("x", "component").alias("y"), F.min("component").alias("low"))
         both = chosen.join(first, "key").where((F.col("component") != F.col("low")) & plausible(lambda c: F.col("x")[c], lambda c: F.col("y")[c]))
@@ -74,13 +83,17 @@ def cluster_by_keys(keys: DataFrame, verified: Callable[[DataFrame], DataFrame],
         pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "probes")
         more = stored(verified(pairs), "probed-links")
         tested = tested.unionByName(pairs)
+        garbage.append(pairs)
         if more.isEmpty():
             break
         found = found.unionByName(more)
         joined = components(found)
+        drop_stored(labelled)
         labelled = still_open(joined)
     x, y = (labelled.select(*[F.col(c).alias(f"{k}_{c}") for c in labelled.columns]) for k in "xy")
     apart = (F.col("x_item") < F.col("y_item")) & (F.col("x_component") != F.col("y_component")) & plausible(lambda c: F.col(f"x_{c}"), lambda c: F.col(f"y_{c}"))
     pairs = x.join(y, (F.col("x_key") == F.col("y_key")) & apart).select(F.col("x_item").alias("a"), F.col("y_item").alias("b"))
     more = stored(verified(pairs.distinct().join(tested, ["a", "b"], "left_anti")), "more-links")
-    return joined if more.isEmpty() else components(found.unionByName(more))
+    out = joined if more.isEmpty() else components(found.unionByName(more))
+    drop_stored(labelled, *garbage)
+    return out

@@ -48,7 +48,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of BASE and of its inverse modulo 2**64, at least ``n + 1`` of each."""
     if len(_powers.get("up", ())) < n + 1:
-        size = max(n + 1, STEP_BYTES + 1)
+        size = max(1 << 16, 1 << n.bit_length())
         for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
             factors = np.full(size, base, dtype=np.uint64)
             factors[0] = 1

@@ -43,7 +43,7 @@ REMEMBERED = 1 << 19
 #: Bytes of a word beyond which it is merged by a heap.
 LONG = 512
 #: Text between two Python ends at once.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 19
 #: Ids are 16 bits of the state; the largest stands for the ends of a word, which no pair has.
 END = (1 << 16) - 1
 #: The rank of no pair, and the lowest bit of ranks and of places in an element of the state.

@@ -29,6 +29,10 @@ KEY_EVERY = 8
 NESTED = {b"moov", b"trak", b"mdia", b"minf", b"stbl", b"dinf", b"edts", b"udta", b"moof", b"traf", b"mvex"}
 
 
+#: Containers within each other that a file may have.
+MOST_DEPTH = 64
+
+
 def box(kind: bytes, *parts: bytes) -> bytes:
     body = b"".join(parts)
     if len(body) + 8 < 1 << 32:
@@ -75,10 +79,14 @@ def store(data: bytes) -> bytes:
     return b"".join([_FTYP, mdat, box(b"moov", mvhd, box(b"trak", tkhd, mdia))])
 
 
-def walk(data, start: int = 0, end: int | None = None, path: tuple = ()):
+def walk(data):
     """(path, body start, body end) of every box in file order, containers before what they hold."""
-    end = len(data) if end is None else end
-    while start < end:
+    start, open_boxes = 0, [(len(data), ())]
+    while open_boxes:
+        end, path = open_boxes[-1]
+        if start >= end:
+            open_boxes.pop()
+            continue
         if end - start < 8:
             raise ValueError("a box header is cut off")
         size, kind = struct.unpack_from(">I4s", data, start)
@@ -95,8 +103,12 @@ def walk(data, start: int = 0, end: int | None = None, path: tuple = ()):
             raise ValueError("a box does not fit its container")
         yield (*path, kind), body, start + size
         if kind in NESTED:
-            yield from walk(data, body, start + size, (*path, kind))
-        start += size
+            if len(open_boxes) > MOST_DEPTH:
+                raise ValueError("boxes nest too deep")
+            open_boxes.append((start + size, (*path, kind)))
+            start = body
+        else:
+            start += size
 
 
 def tracks(data) -> list[dict]:
@@ -116,13 +128,15 @@ def tracks(data) -> list[dict]:
                 t["codec"] = bytes(data[start + 12 : start + 16]).decode("latin-1")
             elif kind == b"stsz":
                 size, n = struct.unpack_from(">II", data, start + 4)
+                if size * n > len(data):
+                    raise ValueError("the samples exceed the file")
                 t["sizes"] = np.full(n, size, np.int64) if size else _rows(data, start + 12, end, ">u4", n)
             elif kind in (b"stts", b"stsc"):
                 t[kind.decode()] = _rows(data, start + 8, end, ">u4", struct.unpack_from(">I", data, start + 4)[0] * (2 if kind == b"stts" else 3)).reshape(-1, 2 if kind == b"stts" else 3)
             elif kind in (b"stco", b"co64", b"stss"):
                 t["stss" if kind == b"stss" else "chunks"] = _rows(data, start + 8, end, ">u8" if kind == b"co64" else ">u4", struct.unpack_from(">I", data, start + 4)[0])
     for t in found:
-        _place(t)
+        _place(t, len(data))
     return found
 
 
@@ -132,22 +146,28 @@ def _rows(data, start: int, end: int, kind: str, n: int) -> np.ndarray:
     return np.frombuffer(data, dtype=kind, count=n, offset=start).astype(np.int64)
 
 
-def _place(t: dict) -> None:
+def _place(t: dict, length: int) -> None:
     """Byte offset, size and key flag of each sample from the tables."""
     sizes, chunks = t.get("sizes", np.zeros(0, np.int64)), t.get("chunks", np.zeros(0, np.int64))
     runs = t.get("stsc", np.zeros((0, 3), np.int64))
     if len(sizes) and (not len(chunks) or not len(runs)):
         raise ValueError("samples without chunks")
     firsts = np.append(runs[:, 0] - 1, len(chunks))
-    per_chunk = np.repeat(runs[:, 1], np.maximum(np.diff(firsts), 0)) if len(runs) else np.zeros(0, np.int64)
+    if (np.diff(firsts) < 0).any() or (len(runs) and firsts[0] < 0):
+        raise ValueError("the runs of chunks are out of order")
+    per_chunk = np.repeat(runs[:, 1], np.diff(firsts)) if len(runs) else np.zeros(0, np.int64)
     if per_chunk.sum() != len(sizes):
         raise ValueError("chunks and samples disagree")
     before = np.concatenate([[0], np.cumsum(sizes)])
     lead = np.cumsum(per_chunk) - per_chunk
     t["offsets"] = np.repeat(chunks - before[lead], per_chunk) + before[:-1] if len(sizes) else sizes
     t["sizes"] = sizes
+    if len(sizes) and (t["offsets"].min() < 0 or (t["offsets"] + sizes).max() > length):
+        raise ValueError("a sample lies outside the file")
     keys = np.zeros(len(sizes), dtype=bool)
     if "stss" in t:
+        if len(t["stss"]) and not (1 <= t["stss"].min() and t["stss"].max() <= len(sizes)):
+            raise ValueError("a key frame is no sample")
         keys[t["stss"] - 1] = True
     else:
         keys[:] = True  # without the table every sample is a key frame

@@ -30,7 +30,7 @@ from pyspark.sql import Window
 
 from . import _text
 from ._common import broadcast_if_small, map_text, stored
-from ._graph import cluster_by_keys
+from ._graph import cluster_by_keys, with_low
 
 WIDTH = 5
 PERCENT = 75
@@ -228,7 +228,8 @@ def linked(docs: DataFrame, described: DataFrame, id_col: str = "doc_id", text:
         return sizes & (differing * (100 + percent) <= (x("n") + y("n")) * (100 - percent))
 
     facts = content.drop("shingles").withColumnRenamed("sid", "item")
-    return cluster_by_keys(rare.select("key", F.col("sid").alias("item")), verified, facts, plausible)
+    probed = stored(with_low(rare.select("key", F.col("sid").alias("item"))), "probed-keys")
+    return cluster_by_keys(probed, verified, facts, plausible)
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:

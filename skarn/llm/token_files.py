@@ -132,7 +132,8 @@ def _put(fs, path: str, data: bytes) -> None:
 
 
 def write(docs: DataFrame, tokenizer: str, end_id: int | None, path: str | None = None, id_col: str = "doc_id", text: str = "text", vocabulary: int = 1 << 16, part_bytes: int = PART_BYTES, pieces: bool = True, added: bool = False) -> tuple[str, list[dict]]:
-    """Write a data set; returns its folder and its parts in order, each {part, documents, tokens, base, width}."""
+    """Write a data set; returns its folder and its parts in order, each {part, documents, tokens, base, width, nulls}:
+    the first ``nulls`` documents of a part have no id."""
     from pyarrow.fs import FileSystem
 
     spark = docs.sparkSession
@@ -143,19 +144,16 @@ def write(docs: DataFrame, tokenizer: str, end_id: int | None, path: str | None
     width = 2 if vocabulary <= 1 << 16 else 4
     picked = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     parts = max(1, -(-(picked.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // part_bytes))
-    bounds = picked.agg(F.percentile_approx("id", [k / parts for k in range(1, parts)] or [0.5], 10_000)).first()[0] or []
-    bounds = sorted(set(bounds)) if parts > 1 else []
-    part = F.size(F.filter(F.lit(bounds), lambda b: b < F.col("id"))) if bounds else F.lit(0)
-    dealt = picked.withColumn("part", F.coalesce(part, F.lit(0)))
-    dealt = dealt.where("id is not null").unionByName(dealt.where("id is null").withColumn("part", F.lit(0))).repartition(len(bounds) + 1, "part").sortWithinPartitions("part", "id", "text")
+    # ranges of ids by Spark's sample, one to a task: a part is a partition, and nulls sort first
+    dealt = picked.repartitionByRange(parts, "id").sortWithinPartitions("id", "text").withColumn("part", F.spark_partition_id())
     kind = np.dtype(f"<u{width}")
-    schema = pa.schema([("part", pa.int32()), ("documents", pa.int64()), ("tokens", pa.int64())])
+    schema = pa.schema([("part", pa.int32()), ("documents", pa.int64()), ("tokens", pa.int64()), ("nulls", pa.int64())])
 
     def run(batches):
         encode = encoder(tokenizer, pieces, added)
         fs, top = FileSystem.from_uri(path)
         fs.create_dir(top, recursive=True)
-        now, out, name, ids, counts = None, None, "", [], []
+        now, out, name, ids, counts, nulls = None, None, "", [], [], 0
 
         def close():
             out.close()
@@ -163,7 +161,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int | None, path: str | None
             _put(fs, f"{top}/part-{now:05d}.offsets", np.concatenate([[0], np.cumsum(count)]).astype("<u8").tobytes())
             _put(fs, f"{top}/part-{now:05d}.ids", np.concatenate([np.zeros(0, np.int64), *ids]).astype("<i8").tobytes())
             fs.move(name, f"{top}/part-{now:05d}.tokens")
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([len(count)], pa.int64()), pa.array([int(count.sum())], pa.int64())], schema=schema)
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([len(count)], pa.int64()), pa.array([int(count.sum())], pa.int64()), pa.array([nulls], pa.int64())], schema=schema)
 
         for batch in batches:
             which = batch.column(2).to_numpy()
@@ -174,7 +172,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int | None, path: str | None
                 if which[group[0]] != now:
                     if out is not None:
                         yield close()
-                    now, ids, counts = int(which[group[0]]), [], []
+                    now, ids, counts, nulls = int(which[group[0]]), [], [], 0
                     name = f"{top}/part-{now:05d}.tokens.{TaskContext.get().taskAttemptId()}-{uuid.uuid4().hex}"
                     out = fs.open_output_stream(name)
                 for step, flat, offsets in _text.steps(own, "text"):
@@ -182,15 +180,18 @@ def write(docs: DataFrame, tokenizer: str, end_id: int | None, path: str | None
                     if end_id is not None:
                         tokens = np.insert(tokens, at[1:], end_id)
                         at = at + np.arange(len(at))
+                    if len(tokens) and int(tokens.max()) >= 1 << 8 * width:
+                        raise ValueError(f"an id does not fit {width} bytes: give the size of the vocabulary")
                     out.write(tokens.astype(kind).tobytes())
                     counts.append(np.diff(at))
-                    ids.append(step.column(0).fill_null(np.iinfo(np.int64).min).to_numpy())
+                    nulls += step.column(0).null_count
+                    ids.append(step.column(0).fill_null(0).to_numpy())
         if out is not None:
             yield close()
 
-    made = sorted(dealt.select("id", "text", "part").mapInArrow(run, "part int, documents bigint, tokens bigint").collect())
+    made = sorted(dealt.select("id", "text", "part").mapInArrow(run, "part int, documents bigint, tokens bigint, nulls bigint").collect())
     bases = np.concatenate([[0], np.cumsum([r.tokens for r in made])]).tolist()
-    return path, [{"part": r.part, "documents": r.documents, "tokens": r.tokens, "base": bases[i], "width": width} for i, r in enumerate(made)]
+    return path, [{"part": r.part, "documents": r.documents, "tokens": r.tokens, "base": bases[i], "width": width, "nulls": r.nulls} for i, r in enumerate(made)]
 
 
 def _open(fs, path: str, kind: str) -> np.ndarray:
@@ -213,7 +214,7 @@ def read(spark: SparkSession, path: str, parts: list[dict], with_ids: bool = Fal
     fields = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<bigint>" * with_ids
     if not parts:
         return spark.createDataFrame([], fields)
-    listed = spark.createDataFrame([(p["part"], p["base"], p["width"]) for p in parts], "part int, base bigint, width int").repartition(len(parts))
+    listed = spark.createDataFrame([(p["part"], p["base"], p["width"], p["nulls"]) for p in parts], "part int, base bigint, width int, nulls bigint").repartition(len(parts))
 
     def run(batches):
         fs, top = FileSystem.from_uri(path)
@@ -225,7 +226,7 @@ def read(spark: SparkSession, path: str, parts: list[dict], with_ids: bool = Fal
                     high = min(low + 4096, len(ids))
                     own = [tokens[at[d] : at[d + 1]].astype("<u4") for d in range(low, high)]
                     columns = [
-                        pa.array(ids[low:high].astype(np.int64), mask=ids[low:high] == np.iinfo(np.int64).min),
+                        pa.array(ids[low:high].astype(np.int64), mask=np.arange(low, high) < p["nulls"]),
                         pa.array(p["base"] + at[low:high]),
                         pa.array(np.diff(at[low : high + 1])),
                         pa.array([zlib.crc32(x.tobytes()) for x in own], pa.int64()),

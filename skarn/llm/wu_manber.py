@@ -7,8 +7,8 @@ words themselves confirms each occurrence. Documents are searched in stretches s
 own shifts until it leaves its range, so most positions are never looked at.
 
 Defined results: null and empty texts have no words and are clean. An item without words has no window. Equal windows of
-several items count for each. Repeated documents are rows of their own. Items with a repeated id count once. An empty
-item table leaves all documents clean. Extra columns are ignored; ``carry`` returns the wanted ones.
+several items count for each. Repeated documents are rows of their own. Items with a repeated id count once; the words
+of an item without an id are hit, but it is no item of the result. An empty item table leaves all documents clean. Extra columns are ignored; ``carry`` returns the wanted ones.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _text
-from ._common import map_text
+from ._common import drop_stored, map_text, stored
 
 WINDOW = 13
 BLOCK = 3
@@ -32,49 +32,71 @@ PASS_BYTES = 32 << 20
 
 @dataclass
 class Length:
-    """The patterns of one length in words."""
+    """The patterns of one length in words; several may share a hash."""
 
     size: int
     block: int
     shifts: np.ndarray
     hashes: np.ndarray  # sorted pattern hashes
-    texts: list[bytes]  # words joined by a blank, in the order of hashes
-    items: list[list]  # item ids of each pattern
+    first: np.ndarray  # each pattern's place among the items' words
+    ends: np.ndarray  # owners[ends[i] : ends[i + 1]] are pattern i's items
+    owners: np.ndarray
 
 
 @dataclass
 class Patterns:
+    """Item words once, as bytes and hashes; patterns are places in them, so memory is a small multiple of the text."""
+
+    raw: bytes = b""
+    starts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    stops: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    items: list = field(default_factory=list)
     lengths: list[Length] = field(default_factory=list)
 
     @staticmethod
     def build(rows: list[tuple], window: int = WINDOW, block: int = BLOCK) -> Patterns:
         """From (item id, text) rows."""
-        by_size: dict[int, dict[bytes, list]] = {}
-        for item, text in rows:
-            flat = _text.LOWER[np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)]
-            starts, ends, _ = _text.spans(flat, np.array([0, len(flat)]), _text.ALNUM_OR_HIGH)
-            raw = flat.tobytes()
-            words = [raw[s:e] for s, e in zip(starts, ends)]
-            size = min(window, len(words))
-            for i in range(len(words) - size + 1 if words else 0):
-                own = by_size.setdefault(size, {}).setdefault(b" ".join(words[i : i + size]), [])
-                if item not in own:
-                    own.append(item)
-        return Patterns([_length(size, min(block, size), found) for size, found in sorted(by_size.items())])
-
-
-def _length(size: int, block: int, found: dict[bytes, list]) -> Length:
-    texts = list(found)
-    flat = np.frombuffer(b" ".join(texts), dtype=np.uint8)
-    starts, ends, _ = _text.spans(flat, np.array([0, len(flat)]), _text.ALNUM_OR_HIGH)
-    words = _text.span_hashes(flat, starts, ends).reshape(len(texts), size)
+        texts = [(text or "").encode("utf-8", "surrogatepass") for _, text in rows]
+        flat = _text.LOWER[np.frombuffer(b"".join(texts), dtype=np.uint8)]
+        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+        starts, stops, bound = _text.spans(flat, offsets, _text.ALNUM_OR_HIGH)
+        words = _text.span_hashes(flat, starts, stops)
+        ids = {item: k for k, item in enumerate(dict.fromkeys(item for item, _ in rows))}
+        owner = np.array([ids[item] for item, _ in rows], dtype=np.int64)
+        n = np.diff(bound)
+        out = Patterns(flat.tobytes(), starts.astype(np.int32 if len(flat) < 1 << 31 else np.int64), stops.astype(np.int32 if len(flat) < 1 << 31 else np.int64), list(ids))
+        for size in sorted({min(window, int(x)) for x in n if x}):
+            rows_of = np.flatnonzero(np.minimum(n, window) == size)
+            counts = n[rows_of] - size + 1
+            places = np.repeat(bound[:-1][rows_of], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            out.lengths.append(_length(size, min(block, size), words, places, np.repeat(owner[rows_of], counts)))
+        return out
+
+    def text(self, place: int, size: int) -> list[bytes]:
+        return [self.raw[a:z] for a, z in zip(self.starts[place : place + size].tolist(), self.stops[place : place + size].tolist())]
+
+
+def _windows(words: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` words from each place on."""
+    h = np.zeros(len(places), dtype=np.uint64)
+    for k in range(size):
+        h = h * np.uint64(_text.BASE) + words[places + k]
+    return _text.mix(h)
+
+
+def _length(size: int, block: int, words: np.ndarray, places: np.ndarray, owner: np.ndarray) -> Length:
+    hashes, second = _windows(words, places, size), _windows(words ^ _text.MIX_A, places, size)
+    order = np.lexsort((owner, second, hashes))
+    hashes, second, places, owner = hashes[order], second[order], places[order], owner[order]
+    fresh = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (second[1:] != second[:-1])])
+    one = fresh | np.concatenate([[True], owner[1:] != owner[:-1]])  # an item counts once for each pattern
+    first = places[fresh]
     far = size - block + 1
     shifts = np.full(1 << TABLE_BITS, far, dtype=np.uint8 if far < 256 else np.int64)
     for end in range(block - 1, size):  # ascending, so that the smallest shift stays
-        shifts[_slot(_poly(words[:, end - block + 1 : end + 1]))] = size - 1 - end
-    whole = _poly(words)
-    order = np.argsort(whole, kind="stable")
-    return Length(size, block, shifts, whole[order], [texts[i] for i in order], [found[texts[i]] for i in order])
+        shifts[_slot(_windows(words, first + end - block + 1, block))] = size - 1 - end
+    ends = np.append(np.flatnonzero(fresh[one]), one.sum())
+    return Length(size, block, shifts, hashes[fresh], first.astype(np.int64), ends, owner[one])
 
 
 def _poly(words: np.ndarray) -> np.ndarray:
@@ -135,9 +157,13 @@ def searcher(patterns: Patterns):
             docs = np.searchsorted(bound, last, side="right") - 1
             for i, (e, w, d) in enumerate(zip(last.tolist(), which.tolist(), docs.tolist())):
                 span = range(e - p.size + 1, e + 1)
-                if b" ".join([raw[starts[k] : ends[k]] for k in span]) == p.texts[w]:
-                    good[i] = True
-                    items.setdefault(d, set()).update(p.items[w])
+                own, h = [raw[starts[k] : ends[k]] for k in span], p.hashes[w]
+                while w < len(p.hashes) and p.hashes[w] == h:
+                    if own == patterns.text(int(p.first[w]), p.size):
+                        good[i] = True
+                        items.setdefault(d, set()).update(p.owners[p.ends[w] : p.ends[w + 1]].tolist())
+                        break
+                    w += 1
             np.add.at(hit, last[good] - p.size + 1, 1)
             np.add.at(hit, last[good] + 1, -1)
         covered = np.cumsum(hit[:-1]) > 0
@@ -150,7 +176,8 @@ def searcher(patterns: Patterns):
         for d in range(part.num_rows):
             own = np.flatnonzero(covered[bound[d] : bound[d + 1]]).tolist() if some[d] else []
             hits.append(sorted({*own, *old_hits[d]}) if old_hits[d] else own)
-            found.append(sorted({*(str(x) for x in items.get(d, ())), *(old_items[d] or ())}))
+            ids = (patterns.items[x] for x in items.get(d, ()))
+            found.append(sorted({*(str(x) for x in ids if x is not None), *(old_items[d] or ())}))
         return [np.diff(bound), pa.array(hits, pa.list_(pa.int32())), pa.array(found, pa.list_(pa.string()))]
 
     return work
@@ -159,13 +186,14 @@ def searcher(patterns: Patterns):
 def scan(docs: DataFrame, items: DataFrame, text: str = "text", carry: list[str] = ("doc_id",), item: str = "item_id", item_text: str = "text", window: int = WINDOW, block: int = BLOCK, pass_bytes: int = PASS_BYTES) -> DataFrame:
     """``carry`` columns with n_words, hits (indexes of hit words) and items (ids as sorted strings) of every document.
 
-    The item texts go to the tasks in passes of at most ``pass_bytes``; with more, each further pass reads the documents'
-    words again and adds to the hits. Every pass is narrow, so nothing is shuffled however many documents share a passage.
+    The item texts go to the tasks in passes of at most ``pass_bytes``; with more, each pass ends with a written table,
+    and the next one reads the documents' words again and adds to the hits. Every pass is narrow, so nothing is shuffled
+    however many documents share a passage, and one pass's patterns are held at a time.
     """
     spark = docs.sparkSession
     named = items.select(F.col(item).alias("item"), F.col(item_text).alias("words"))
     passes = max(1, -(-(named.agg(F.sum(F.octet_length("words"))).first()[0] or 0) // pass_bytes))
-    found = docs.select(*carry, F.col(text).alias("__doc"))
+    found, before = docs.select(*carry, F.col(text).alias("__doc")), None
     for k in range(passes):
         own = named if passes == 1 else named.where(F.pmod(F.xxhash64("item"), F.lit(passes)) == k)
         patterns = Patterns.build([tuple(r) for r in own.collect()], window, block)
@@ -173,6 +201,12 @@ def scan(docs: DataFrame, items: DataFrame, text: str = "text", carry: list[str]
         keep = [*carry, *(["__doc"] if k < passes - 1 else [])]
         source = found if k == 0 else found.drop("n_words")
         found = _pass(source, keep, sent)
+        if k < passes - 1:
+            done = stored(found, "scanned")
+            if k:
+                drop_stored(before)
+            found = before = done
+            sent.destroy()
     return found
 
 

@@ -122,10 +122,10 @@ def test_byte_bpe(spark, docs):
 
     path = P.path("byte_bpe_multi_50k.tiktoken")
     library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=byte_bpe.load_ranks(path), special_tokens={})
-    short = docs.where("text is null or length(text) < 5000")  # the fold is quadratic in a word's length
+    texts = dict(pairs(docs))
     for hot in (0, 1000):
-        for r in byte_bpe.tokens(short, path, hot=hot, with_ids=True, with_text=True).collect():
-            text = dict(pairs(short))[r["doc_id"]] or ""
+        for r in byte_bpe.tokens(docs, path, hot=hot, with_ids=True, with_text=True).collect():
+            text = texts[r["doc_id"]] or ""
             ids = library.encode_ordinary(text)
             assert r["ids"] == ids and r["n_tokens"] == len(ids) and bytes(r["decoded"]) == text.encode()
             assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
@@ -135,6 +135,23 @@ def test_byte_bpe(spark, docs):
     assert byte_bpe.tokens(docs.limit(0), path, hot=10).count() == 0
 
 
+def test_byte_bpe_long_words(spark):
+    """Unbroken words of all lengths on both sides of the fold's limit."""
+    import base64
+
+    import tiktoken
+
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=byte_bpe.load_ranks(path), special_tokens={})
+    r = random.Random(4)
+    texts = ["".join(r.choice("abcdefgh") for _ in range(n)) for n in (byte_bpe.LONG - 1, byte_bpe.LONG, byte_bpe.LONG + 1, 5000)]
+    texts += [base64.b64encode(r.randbytes(750_000)).decode(), "q" * 30_000, "漢字" * 900, "a" * 700 + " " + "a" * 700]
+    rows = byte_bpe.tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), path, with_ids=True, with_text=True).collect()
+    assert len(rows) == len(texts)
+    for x in rows:
+        assert x["ids"] == library.encode_ordinary(texts[x["doc_id"]]) and bytes(x["decoded"]).decode() == texts[x["doc_id"]]
+
+
 def test_bpe_words():
     r = random.Random(1)
     for _ in range(3000):
@@ -144,6 +161,57 @@ def test_bpe_words():
         assert [raw[starts[i] : starts[i + 1]].decode() for i in range(len(starts) - 1)] == regex.findall(P.PATTERN, s)
 
 
+def test_toxicity_score_depends_on_its_text_alone():
+    r = random.Random(8)
+    bad = [(prose(i, 30) + " zappo wretch").encode() for i in range(60)]
+    good = [prose(1000 + i, 30).encode() for i in range(120)]
+    model = toxicity.fit(bad + good, [True] * len(bad) + [False] * len(good))
+    texts = [b"", b"zappo", *bad[:20], *good[:20], b"one two"]
+    r.shuffle(texts)
+    flat, ends = np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    together = model.scores(toxicity.Words.of(flat, ends))
+    alone = [model.scores(toxicity.Words.of(np.frombuffer(t, np.uint8), np.array([0, len(t)])))[0] for t in texts]
+    assert np.allclose(together, alone, atol=2e-5)
+    # the forward pass by plain loops
+    w = toxicity.Words.of(flat, ends)
+    for d in range(len(texts)):
+        x = model.table[w.rows[w.which[w.bound[d] : w.bound[d + 1]]]].sum(axis=1)
+        if not len(x):
+            continue
+        x = np.concatenate([x, np.zeros((2, toxicity.SIZE))])
+        h = [max(0.0, max(sum(x[i + j] @ model.filters[k][j][:, f] for j in range(k)) + model.bias[k][f] for i in range(len(x) - 2))) for k in toxicity.WIDTHS for f in range(toxicity.FILTERS)]
+        assert abs(float(np.dot(h, model.dense) + model.offset) - float(model.forward(w)[d])) < 1e-2
+
+
+def test_media_hostile_files():
+    """Deep nesting and forged counts are errors, and cost nothing."""
+    import struct
+
+    deep = b""
+    for _ in range(3000):
+        deep = struct.pack(">I4s", len(deep) + 8, b"moov") + deep
+    with pytest.raises(ValueError):
+        list(media_boxes.walk(deep))
+    whole = media_boxes.store(b"x" * 5000)
+    assert media_boxes.payload(whole)[:5000] == b"x" * 5000
+    at = whole.index(b"stsz")
+    with pytest.raises(ValueError):
+        media_boxes.tracks(whole[: at + 12] + struct.pack(">I", 200_000_000) + whole[at + 16 :])
+    at = whole.index(b"stss")
+    with pytest.raises(ValueError):
+        media_boxes.tracks(whole[: at + 12] + struct.pack(">I", 0) + whole[at + 16 :])
+
+
+def test_wu_manber_in_passes(spark, docs):
+    rows = pairs(docs)
+    items = [(i, t) for i, (_, t) in enumerate(rows) if i % 3 == 0] + [(None, "one two three"), ("7", "a b c d")]
+    table = spark.createDataFrame([(None if i is None else str(i), t) for i, t in items], "item_id string, text string")
+    want = {r[0]: r[1:] for r in wu_manber.brute_force(rows, [(i, t) for i, t in items if i is not None])}
+    for size in (wu_manber.PASS_BYTES, 400):
+        got = {r["doc_id"]: tuple(r)[1:] for r in wu_manber.decontaminate(docs, table.where("item_id is not null"), pass_bytes=size).collect()}
+        assert got == want
+
+
 def test_token_files(spark, docs):
     from tokenizers import Tokenizer
 
