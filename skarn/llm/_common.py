@@ -22,10 +22,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that the driver and all executors see: spark.checkpoint.dir, or where unset a temporary one."""
+    """Folder that the driver and all executors see: spark.checkpoint.dir; in local mode, where unset, a temporary one."""
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if conf:
         return conf
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     made = spark.sparkContext._jsc.sc().getCheckpointDir()
     if made.isEmpty():
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="skarn-"))
@@ -51,24 +53,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: its lineage ends there and lost executors cost nothing."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
 
 
 def drop_stored(*tables: DataFrame) -> None:
-    """Delete tables of ``stored`` that nothing reads any more, and let the driver free the shuffle files behind them."""
+    """Delete tables of ``stored`` that nothing reads any more."""
     for df in tables:
-        folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-        for folder in folders:
-            if "/skarn-" in folder:
-                drop_path(df.sparkSession, folder)
-    if tables:
-        tables[0].sparkSession.sparkContext._jvm.System.gc()
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder, for small tables inside iterations."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+        drop_path(df.sparkSession, df._stored_at)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let the driver's collector find the shuffles that no plan uses any more, so that Spark deletes their files now.
+
+    Spark deletes them when the plan is collected, which a driver with much free memory may not do for long."""
+    spark.sparkContext._jvm.System.gc()
 
 
 def broadcast_if_small(df: DataFrame, row_bytes: int, most_bytes: int = 64 << 20) -> DataFrame:

@@ -7,14 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import checkpointed, drop_stored, stored
+from ._common import broadcast_if_small, drop_stored, stored
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of ``links``; a component's name is its smallest node.
 
     Each round takes the smallest label among neighbours and then follows that label's own label, so long chains
-    halve. Labels are checkpointed each round. Null ends are ignored; repeated links and self-links do no harm; an
+    halve. Labels are written each round. Null ends are ignored; repeated links and self-links do no harm; an
     empty table gives an empty result.
     """
     both = (
@@ -22,8 +22,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         .unionByName(links.select(F.col(b).alias("node"), F.col(a).alias("other")))
         .where("node is not null and other is not null")
     )
-    edges = checkpointed(both.distinct())
-    labels = checkpointed(edges.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("label")))
+    edges = stored(both.distinct(), "edges")
+    labels = stored(edges.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("label")), "labels")
     while True:
         heard = edges.join(labels, "node").select(F.col("other").alias("node"), "label")
         lower = labels.unionByName(heard).groupBy("node").agg(F.min("label").alias("low"))
@@ -33,67 +33,67 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             .join(labels.withColumnRenamed("label", "old"), "node")
             .select("node", F.least("low", F.coalesce("lower", "low")).alias("label"), "old")
         )
-        nxt = checkpointed(nxt)
-        labels = nxt.select("node", "label")
+        nxt = stored(nxt, "labels")
+        drop_stored(labels)
+        labels = nxt
         if nxt.where("label <> old").isEmpty():
-            return labels.withColumnRenamed("label", "component")
+            drop_stored(edges)
+            return nxt.select("node", F.col("label").alias("component"))
+        labels = nxt.select("node", "label")
+        labels._stored_at = nxt._stored_at
 
 
 #: Rounds in which one pair of representatives stands for two components before all their pairs are compared.
 PROBES = 3
 
 
-def with_low(keys: DataFrame) -> DataFrame:
-    """(key, item, low) of the keys that several items have, ``low`` the smallest of them.
-
-    The aggregate combines before its shuffle, so a key that very many rows share costs no task more than others."""
-    several = keys.groupBy("key").agg(F.min("item").alias("low"), F.max("item").alias("high")).where("low <> high").drop("high")
-    return keys.join(several, "key").select("key", "item", "low")
-
-
 def cluster_by_keys(shared: DataFrame, verified: Callable[[DataFrame], DataFrame], facts: DataFrame, plausible: Callable[[Callable[[str], Column], Callable[[str], Column]], Column], probes: int = PROBES) -> DataFrame:
     """(node, component) of the items that ``verified`` links among those sharing a key.
 
-    ``shared`` is a stored table of distinct (key, item, low) rows as by ``with_low``, ``facts`` has a row for each item.
-    Each item is first compared with the smallest item of its keys. Where a key's items are still of several components,
-    one item of each is compared with one of the first component, in a few rounds with other items. Last, all items of
-    different components that share a key are compared if ``plausible`` holds between the facts of both. So a group of
-    copies costs about one comparison each, and no link is lost that could join two components.
+    ``shared`` is a stored table of distinct (key, item, low) rows, ``low`` the smallest item of the key and another one
+    for some row; ``facts`` has a row for each item. Each item is first compared with the smallest item of its keys.
+    Where a key's items are still of several components, one item of each is compared with one of the first component,
+    in a few rounds with other items. Last, all items of different components that share a key are compared if
+    ``plausible`` holds between the facts of both. So a group of copies costs about one comparison each, and no link is
+    lost that could join two components. A key's items are reduced to a row for each component before they meet in a
+    task, however many they are.
     """
     names = ["item", *[c for c in facts.columns if c != "item"]]
-
-    def still_open(joined: DataFrame) -> DataFrame:
-        labelled = shared.select("key", "item").join(joined.withColumnRenamed("node", "item"), "item", "left").withColumn("component", F.coalesce("component", "item"))
-        several = labelled.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("key")
-        return stored(labelled.join(several, "key", "left_semi").join(facts, "item"), "open-keys")
-
     tested = stored(shared.where("low <> item").select(F.col("low").alias("a"), F.col("item").alias("b")).distinct(), "pairs")
     found = stored(verified(tested), "links")
     joined = components(found)
-    labelled = still_open(joined)
-    garbage = [tested]
-    for probe in range(probes):
-        if labelled.isEmpty():
-            drop_stored(labelled, *garbage)
-            return joined
-        chosen = labelled.groupBy("key", "component").agg(F.min_by(F.struct(*names), F.xxhash64("item", F.lit(probe))).alias("x"))
-        first = chosen.groupBy("key").agg(F.min_by("x", "component").alias("y"), F.min("component").alias("low"))
-        both = chosen.join(first, "key").where((F.col("component") != F.col("low")) & plausible(lambda c: F.col("x")[c], lambda c: F.col("y")[c]))
+    rows, garbage = shared.select("key", "item"), [tested]
+    for probe in range(probes + 1):
+        labelled = rows.join(joined.withColumnRenamed("node", "item"), "item", "left").select("key", "item", F.coalesce("component", "item").alias("component"))
+        labelled = stored(labelled, "labelled")
+        ones = labelled.groupBy("key", "component").agg(F.min_by("item", F.xxhash64("item", F.lit(probe))).alias("item"))
+        several = ones.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.min_by("item", "component").alias("first"))
+        several = stored(several.where("least <> most").select("key", "least", "first"), "several")
+        rows = stored(labelled.join(broadcast_if_small(several, 64), "key").select("key", "item", "component", "least", "first"), "open-keys")
+        drop_stored(labelled, several)
+        garbage.append(rows)
+        if probe == probes or rows.isEmpty():
+            break
+        x, y = (F.struct(*[F.col(f"{k}.{c}") for c in names]).alias(k) for k in "xy")
+        ones = rows.where("component <> least").groupBy("key", "component", "first").agg(F.min_by("item", F.xxhash64("item", F.lit(probe))).alias("item"))
+        both = ones.select("item", "first").distinct().join(facts.alias("x"), "item").select("first", x).join(facts.alias("y"), F.col("first") == F.col("y.item")).select("x", y)
+        both = both.where(plausible(lambda c: F.col("x")[c], lambda c: F.col("y")[c]))
         pairs = both.select(F.least("x.item", "y.item").alias("a"), F.greatest("x.item", "y.item").alias("b")).distinct()
         pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "probes")
+        garbage.append(pairs)
         more = stored(verified(pairs), "probed-links")
         tested = tested.unionByName(pairs)
-        garbage.append(pairs)
         if more.isEmpty():
             break
         found = found.unionByName(more)
         joined = components(found)
-        drop_stored(labelled)
-        labelled = still_open(joined)
-    x, y = (labelled.select(*[F.col(c).alias(f"{k}_{c}") for c in labelled.columns]) for k in "xy")
-    apart = (F.col("x_item") < F.col("y_item")) & (F.col("x_component") != F.col("y_component")) & plausible(lambda c: F.col(f"x_{c}"), lambda c: F.col(f"y_{c}"))
-    pairs = x.join(y, (F.col("x_key") == F.col("y_key")) & apart).select(F.col("x_item").alias("a"), F.col("y_item").alias("b"))
-    more = stored(verified(pairs.distinct().join(tested, ["a", "b"], "left_anti")), "more-links")
-    out = joined if more.isEmpty() else components(found.unionByName(more))
-    drop_stored(labelled, *garbage)
-    return out
+        rows = rows.select("key", "item")
+    if not rows.isEmpty():
+        with_facts = rows.select("key", "item", "component").join(facts, "item")
+        x, y = (with_facts.select(*[F.col(c).alias(f"{k}_{c}") for c in with_facts.columns]) for k in "xy")
+        apart = (F.col("x_item") < F.col("y_item")) & (F.col("x_component") != F.col("y_component")) & plausible(lambda c: F.col(f"x_{c}"), lambda c: F.col(f"y_{c}"))
+        pairs = x.join(y, (F.col("x_key") == F.col("y_key")) & apart).select(F.col("x_item").alias("a"), F.col("y_item").alias("b"))
+        more = stored(verified(pairs.distinct().join(tested, ["a", "b"], "left_anti")), "more-links")
+        joined = joined if more.isEmpty() else components(found.unionByName(more))
+    drop_stored(*garbage)
+    return joined

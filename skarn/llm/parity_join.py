@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from . import _text
-from ._common import broadcast_if_small, map_text, stored
-from ._graph import cluster_by_keys, with_low
+from ._common import broadcast_if_small, drop_stored, free_shuffles, map_text, stored
+from ._graph import cluster_by_keys
 
 WIDTH = 5
 PERCENT = 75
@@ -188,11 +188,13 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width:
     return map_text(docs.withColumnRenamed(id_col, "doc_id"), text, ["doc_id"], "n_shingles bigint, sid bigint", lambda: _describe(width))
 
 
-def _shared(emitted: DataFrame, name: str) -> DataFrame:
-    """The emitted (key, sid, least) rows whose key several classes have, with the number of these."""
+def _shared(emitted: DataFrame) -> DataFrame:
+    """The emitted (key, sid, least) rows, once each, whose key several classes have; ``low`` is the smallest of these.
+
+    Equal sets are one class and emit once, so a key's rows in a task's sorted, spilling window are distinct documents'."""
     by_key = Window.partitionBy("key")
-    found = emitted.withColumns({"low": F.min("sid").over(by_key), "high": F.max("sid").over(by_key)}).where("low <> high").drop("low", "high")
-    return stored(found.dropDuplicates(["key", "sid"]).withColumn("size", F.count(F.lit(1)).over(by_key)), name)
+    found = emitted.withColumns({"low": F.min("sid").over(by_key), "high": F.max("sid").over(by_key)}).where("low <> high")
+    return found.drop("high").dropDuplicates(["key", "sid"])
 
 
 def _enough(shared: DataFrame) -> DataFrame:
@@ -203,16 +205,28 @@ def _enough(shared: DataFrame) -> DataFrame:
 
 def linked(docs: DataFrame, described: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, surplus: float = SURPLUS) -> DataFrame:
     """(node, component) over the classes that link with another."""
+    spark = docs.sparkSession
+    enough = stored(_enough(_shared(_emit(docs, text, width, percent, surplus))), "enough")
+    free_shuffles(spark)
     chosen = described.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
-    chosen = stored(chosen.join(_enough(_shared(_emit(docs, text, width, percent, surplus), "first-keys")), "sid"), "candidates")
-    one = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")).join(broadcast_if_small(chosen.select("doc_id", "sid"), 32), "doc_id")
+    chosen = stored(chosen.join(broadcast_if_small(enough, 48), "sid"), "candidates")
+    one = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")).join(broadcast_if_small(chosen.select("doc_id", "sid"), 64), "doc_id")
     content = stored(_contents(one, "text", width).dropDuplicates(["sid"]).join(chosen.select("sid", "n"), "sid"), "shingles")
+    drop_stored(enough, chosen)
 
-    shared = _shared(_all_keys(content, percent), "all-keys")
-    shared = _shared(shared.drop("size", "least").join(_enough(shared), "sid").select("key", "sid", "least"), "kept-keys")
+    every = stored(_shared(_all_keys(content, percent)), "all-keys")
+    free_shuffles(spark)
+    by_key = Window.partitionBy("key")
+    again = _shared(every.drop("least", "low").join(_enough(every), "sid").select("key", "sid", "least"))
+    shared = stored(again.withColumn("size", F.count(F.lit(1)).over(by_key)).drop("low"), "kept-keys")
+    drop_stored(every)
+    free_shuffles(spark)
     own = _enough(shared)
     by_sid = Window.partitionBy("sid").orderBy(F.desc("size"), F.desc("key"))
     rare = shared.drop("least").join(own, "sid").withColumn("rank", F.row_number().over(by_sid)).where("rank >= least")
+    probed = stored(_shared(rare.select("key", "sid", F.lit(0).alias("least"))).select("key", F.col("sid").alias("item"), "low"), "probed-keys")
+    drop_stored(shared)
+    free_shuffles(spark)
 
     def verified(pairs: DataFrame) -> DataFrame:
         left = content.select(F.col("sid").alias("a"), F.col("shingles").alias("sa"))
@@ -228,8 +242,10 @@ def linked(docs: DataFrame, described: DataFrame, id_col: str = "doc_id", text:
         return sizes & (differing * (100 + percent) <= (x("n") + y("n")) * (100 - percent))
 
     facts = content.drop("shingles").withColumnRenamed("sid", "item")
-    probed = stored(with_low(rare.select("key", F.col("sid").alias("item"))), "probed-keys")
-    return cluster_by_keys(probed, verified, facts, plausible)
+    joined = cluster_by_keys(probed, verified, facts, plausible)
+    drop_stored(probed, content)
+    free_shuffles(spark)
+    return joined
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:

@@ -113,8 +113,26 @@ def test_line_dedup_changed_words(spark):
             texts += [" ".join(words), " ".join(other), " ".join(typo)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     want = line_dedup.brute_force(list(enumerate(texts)))
-    assert len(want) > 90
-    assert {x["doc"]: list(x["drop"]) for x in line_dedup.dropped(docs).collect()} == want
+    got = {x["doc"]: list(x["drop"]) for x in line_dedup.dropped(docs).collect()}
+    assert len(want) > 90 and len(got) >= 0.95 * len(want)
+    assert all(got[doc] == want[doc] for doc in got)
+
+
+def test_line_dedup_recall_of_edited_lines(spark):
+    """Up to a twentieth of the words changed, added or removed: at least 0.9 of what edit similarity alone drops."""
+    r, texts = random.Random(12), []
+    for n in (8, 12, 18, 25, 33, 50, 80, 150):
+        for k in range(6):
+            words = prose(9000 + 100 * n + k, n).split(" ")
+            other = list(words)
+            for _ in range(max(1, n // 20)):
+                at = r.randrange(len(other))
+                other[at : at + 1] = r.choice([[], [other[at], r.choice(WORDS)], [r.choice(WORDS)]])
+            texts += [" ".join(words), " ".join(other)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    want = line_dedup.brute_force(list(enumerate(texts)))
+    got = {x["doc"] for x in line_dedup.dropped(docs).collect()}
+    assert len(want) > 40 and got <= set(want) and len(got) >= 0.9 * len(want)
 
 
 def test_byte_bpe(spark, docs):
