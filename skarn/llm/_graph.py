@@ -23,16 +23,18 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         .where("node is not null and other is not null")
     )
     edges = stored(both.distinct(), "edges")
-    labels = stored(edges.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("label")), "labels")
+    small = edges.count() * 64 <= 64 << 20  # labels are no more than edges
+
+    def side(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if small else df
+
+    labels = edges.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("label"))
+    labels = stored(labels, "labels")
     while True:
-        heard = edges.join(labels, "node").select(F.col("other").alias("node"), "label")
-        lower = labels.unionByName(heard).groupBy("node").agg(F.min("label").alias("low"))
+        heard = edges.join(side(labels.select(F.col("node").alias("other"), F.col("label").alias("low"))), "other").groupBy("node").agg(F.min("low").alias("low"))
         jump = labels.select(F.col("node").alias("low"), F.col("label").alias("lower"))
-        nxt = (
-            lower.join(jump, "low", "left")
-            .join(labels.withColumnRenamed("label", "old"), "node")
-            .select("node", F.least("low", F.coalesce("lower", "low")).alias("label"), "old")
-        )
+        nxt = heard.join(side(labels.withColumnRenamed("label", "old")), "node").select("node", "old", F.least("low", "old").alias("low"))
+        nxt = nxt.join(side(jump), "low", "left").select("node", F.least("low", F.coalesce("lower", "low")).alias("label"), "old")
         nxt = stored(nxt, "labels")
         drop_stored(labels)
         labels = nxt
@@ -45,24 +47,33 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 #: Rounds in which one pair of representatives stands for two components before all their pairs are compared.
 PROBES = 3
+#: Items of a key up to which all its pairs are compared at once.
+FEW = 8
 
 
 def cluster_by_keys(shared: DataFrame, verified: Callable[[DataFrame], DataFrame], facts: DataFrame, plausible: Callable[[Callable[[str], Column], Callable[[str], Column]], Column], probes: int = PROBES) -> DataFrame:
     """(node, component) of the items that ``verified`` links among those sharing a key.
 
-    ``shared`` is a stored table of distinct (key, item, low) rows, ``low`` the smallest item of the key and another one
-    for some row; ``facts`` has a row for each item. Each item is first compared with the smallest item of its keys.
-    Where a key's items are still of several components, one item of each is compared with one of the first component,
-    in a few rounds with other items. Last, all items of different components that share a key are compared if
+    ``shared`` is a stored table of distinct (key, item, low, n) rows of keys that several items have, ``low`` the smallest
+    of them and ``n`` at least their number; ``facts`` has a row for each item. All pairs of a key of FEW items are
+    compared at once; of others each item with the smallest. Where such a key's items are still of several components,
+    one item of each is compared with one of the first component, in a few rounds with other items. Last, all items of different components that share a key are compared if
     ``plausible`` holds between the facts of both. So a group of copies costs about one comparison each, and no link is
     lost that could join two components. A key's items are reduced to a row for each component before they meet in a
     task, however many they are.
     """
     names = ["item", *[c for c in facts.columns if c != "item"]]
-    tested = stored(shared.where("low <> item").select(F.col("low").alias("a"), F.col("item").alias("b")).distinct(), "pairs")
+    few = F.col("n") <= FEW
+    x, y = (shared.where(few).select("key", F.col("item").alias(k)) for k in "ab")
+    near = x.join(y, "key").where("a < b").select("a", "b")
+    star = shared.where(~few & (F.col("low") != F.col("item"))).select(F.col("low").alias("a"), F.col("item").alias("b"))
+    tested = stored(near.unionByName(star).distinct(), "pairs")
     found = stored(verified(tested), "links")
     joined = components(found)
-    rows, garbage = shared.select("key", "item"), [tested]
+    rows, garbage = shared.where(~few).select("key", "item"), [tested]
+    if rows.isEmpty():
+        drop_stored(tested)
+        return joined
     for probe in range(probes + 1):
         labelled = rows.join(joined.withColumnRenamed("node", "item"), "item", "left").select("key", "item", F.coalesce("component", "item").alias("component"))
         labelled = stored(labelled, "labelled")

@@ -224,7 +224,8 @@ def linked(docs: DataFrame, described: DataFrame, id_col: str = "doc_id", text:
     own = _enough(shared)
     by_sid = Window.partitionBy("sid").orderBy(F.desc("size"), F.desc("key"))
     rare = shared.drop("least").join(own, "sid").withColumn("rank", F.row_number().over(by_sid)).where("rank >= least")
-    probed = stored(_shared(rare.select("key", "sid", F.lit(0).alias("least"))).select("key", F.col("sid").alias("item"), "low"), "probed-keys")
+    probed = _shared(rare.select("key", "sid", F.lit(0).alias("least"))).withColumn("n", F.count(F.lit(1)).over(by_key))
+    probed = stored(probed.select("key", F.col("sid").alias("item"), "low", "n"), "probed-keys")
     drop_stored(shared)
     free_shuffles(spark)
 
