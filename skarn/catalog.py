@@ -10,30 +10,23 @@ from pyspark.sql import functions as F
 from .functions import scalars as S
 from .operators import assembly, evaluation, graph, quality, search, signals
 from .plans import adapters as A
+from .registry import QUERIES, SQL, query
 from .sources import bundle
 from .streaming import sync
 
 FLAGSHIP = "retrieval_scores"
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def put(f):
-        _QUERIES[name] = f
-        if sql:
-            _SQL[name] = sql
-        return f
-
-    return put
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    from . import catalog_code, catalog_rows  # noqa: F401
+
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    from . import catalog_code, catalog_rows  # noqa: F401
+
+    return dict(SQL)
 
 
 # ---- graph ----------------------------------------------------------------------------------------------------------
@@ -66,9 +59,9 @@ def file_dependencies(spark, d):
 
 @query("dominant_files", A.sql("""SELECT row_number() OVER (ORDER BY n DESC, file_path) AS rank, file_path, n FROM (
   SELECT a.file_path, count(*) AS n FROM edges JOIN nodes a ON source = a.id JOIN nodes b ON target = b.id WHERE a.file_path = b.file_path GROUP BY 1 ORDER BY n DESC, 1 LIMIT 20)
-  WHERE n >= 20 QUALIFY rank <= 2""", "nodes", "edges"))
+  QUALIFY rank <= 2 AND max(n) OVER () >= 20""", "nodes", "edges"))
 def dominant_files(spark, d):
-    return graph.dominant_files(A.nodes(spark, d), A.edges(spark, d), S.is_test_file(F.col("file_path"))).withColumn("rank", F.col("rank").cast("long"))
+    return graph.dominant_files(A.nodes(spark, d), A.edges(spark, d), S.is_low_value_file(F.col("file_path"))).withColumn("rank", F.col("rank").cast("long"))
 
 
 @query("callers_depth1", A.sql("""SELECT target AS id, source AS other, kind FROM edges WHERE kind IN ('calls', 'references', 'imports', 'instantiates') AND target IN ('function:7', 'class:3', 'interface:5')""", "edges"))
@@ -105,7 +98,7 @@ def call_graph(spark, d):
 
 @query("impact_radius", A.sql("""WITH RECURSIVE inside AS (SELECT source AS a, target AS b FROM edges WHERE kind = 'contains'),
 walk(id, depth) AS (SELECT 'module:3', 0 UNION SELECT n.id, n.depth FROM walk w, LATERAL (
-    SELECT b AS id, w.depth AS depth FROM inside WHERE a = w.id AND split_part(w.id, ':', 1) IN ('class', 'interface', 'module', 'namespace')
+    SELECT b AS id, w.depth AS depth FROM inside WHERE a = w.id AND w.depth < 2 AND split_part(w.id, ':', 1) IN ('class', 'interface', 'module')
     UNION ALL SELECT source, w.depth + 1 FROM edges WHERE kind <> 'contains' AND target = w.id AND w.depth < 2) n)
 SELECT id, CAST(min(depth) AS INT) AS depth FROM walk GROUP BY id""", "edges", recursive=True))
 def impact_radius(spark, d):
@@ -126,7 +119,7 @@ def shortest_path(spark, d):
     """To the farthest nation that NATION_0 reaches within 6 steps, of several the last by name."""
     deps = A.file_deps(spark, d).withColumn("kind", F.lit("dep"))
     far = graph.reach(deps, graph.ids(deps, ["NATION_0"]), 6).orderBy(F.desc("depth"), F.desc("id")).first()  # one row
-    return graph.shortest_path(deps, "NATION_0", far["id"] if far else "NATION_0", most=6)
+    return graph.shortest_path(deps, "NATION_0", far["id"] if far else "NATION_0")
 
 
 @query("circular_dependencies", A.sql("""WITH RECURSIVE walk(a, b) AS (SELECT source, target FROM deps UNION SELECT a, target FROM walk JOIN deps ON b = source)
@@ -163,8 +156,8 @@ def personalized_pagerank(spark, d):
 
 @query("pagerank_full")
 def pagerank_full(spark, d):
-    """All 25 rounds over the whole node graph from the regions' seeds; a per-round SQL would repeat the graph 25 times."""
-    return graph.pagerank(A.nodes(spark, d), A.edges(spark, d), graph.ids(A.edges(spark, d), ["module:3", "module:7"])).where("rank > 0")
+    """All 25 rounds over the whole node graph from two seeds; a per-round SQL would repeat the graph 25 times."""
+    return graph.pagerank(A.nodes(spark, d), A.edges(spark, d), graph.ids(A.edges(spark, d), ["function:3", "class:7"])).where("rank > 0")
 
 
 @query("filtered_subgraph", A.sql("""SELECT source, target, edges.kind AS kind, line FROM edges JOIN nodes a ON source = a.id JOIN nodes b ON target = b.id WHERE a.kind IN ('module', 'class', 'namespace') AND b.kind IN ('module', 'class', 'namespace')""", "nodes", "edges"))
@@ -218,50 +211,51 @@ def search_ranked(spark, d):
 
 
 @query("resolve_references", A.sql("""WITH refs AS (
-  SELECT 'a' || p_partkey AS ref_id, p_name AS name, 'ECONOMY' AS language, p_brand AS file_path FROM part WHERE p_partkey % 50 = 0
-  UNION ALL SELECT 'b' || s_suppkey, 'NATION_' || s_nationkey || '::' || s_name, 'SUPPLIER', '' FROM supplier UNION ALL SELECT 'c' || c_custkey, lower(c_name), c_mktsegment, '' FROM customer WHERE c_custkey % 10 = 0),
-ex AS (SELECT ref_id, id AS target, 2 AS priority, 'exact' AS strategy, CASE WHEN count(*) OVER (PARTITION BY ref_id) = 1 THEN CASE WHEN r.language = n.language THEN 0.9 ELSE 0.5 END WHEN r.file_path = n.file_path THEN 0.7 ELSE 0.4 END AS confidence FROM refs r JOIN nodes n ON r.name = n.name),
-qu AS (SELECT ref_id, id AS target, 1, 'qualified', CASE WHEN count(*) OVER (PARTITION BY ref_id) = 1 THEN 0.95 ELSE 0.85 END FROM refs r JOIN nodes n ON r.name = n.qualified_name),
-lo AS (SELECT ref_id, id AS target, 3, 'fuzzy', CASE WHEN r.language = n.language THEN 0.5 ELSE 0.3 END FROM refs r JOIN nodes n ON lower(r.name) = lower(n.name) AND r.name <> n.name QUALIFY count(*) OVER (PARTITION BY ref_id) = 1)
-SELECT ref_id, target, strategy, CAST(confidence AS DOUBLE) AS confidence FROM (SELECT * FROM ex UNION ALL SELECT * FROM qu UNION ALL SELECT * FROM lo)
-QUALIFY row_number() OVER (PARTITION BY ref_id ORDER BY priority, confidence DESC, target) = 1""", "nodes"))
+  SELECT 'a' || p_partkey AS ref_id, p_name AS name, 'calls' AS kind, 'ECONOMY' AS language, p_brand AS file_path FROM part
+  UNION ALL SELECT 'b' || s_suppkey, 'NATION_' || s_nationkey || '::' || s_name, 'references', 'SUPPLIER', '' FROM supplier UNION ALL SELECT 'c' || c_custkey, lower(c_name), 'calls', c_mktsegment, '' FROM customer),
+qu AS (SELECT ref_id, id AS target, 1 AS priority, 'qualified-name' AS strategy, 0.95 AS confidence FROM refs JOIN nodes ON refs.name = qualified_name WHERE contains(refs.name, '::') OR contains(refs.name, '.') QUALIFY count(*) OVER (PARTITION BY ref_id) = 1),
+pa AS (SELECT ref_id, id AS target, 2, 'qualified-name', 0.85 FROM refs JOIN nodes n ON n.name = regexp_extract(refs.name, '[^:.]*$') AND ends_with(qualified_name, refs.name) WHERE contains(refs.name, '::') OR contains(refs.name, '.') QUALIFY row_number() OVER (PARTITION BY ref_id ORDER BY id) = 1),
+c AS (SELECT ref_id, id, r.language = n.language AS alike, count(*) OVER w AS n, max(CAST(r.language = n.language AS INT)) OVER w AS any_same,
+  CASE WHEN r.file_path = n.file_path THEN 100 + greatest(0, 20 - abs(start_line - 1) / 10) ELSE 0 END + CASE WHEN r.language = n.language THEN 50 ELSE -80 END + CASE WHEN r.kind = 'calls' AND n.kind IN ('function', 'method') THEN 25 ELSE 0 END + CASE WHEN is_exported = 1 THEN 10 ELSE 0 END AS score
+  FROM refs r JOIN nodes n ON r.name = n.name WHERE r.kind <> 'references' OR r.language = n.language WINDOW w AS (PARTITION BY ref_id)),
+ex AS (SELECT ref_id, id AS target, 3, 'exact-match', CASE WHEN n = 1 THEN CASE WHEN alike THEN 0.9 ELSE 0.5 END ELSE 0.4 END FROM c WHERE n = 1 OR ((alike OR any_same = 0) AND score > -1) QUALIFY row_number() OVER (PARTITION BY ref_id ORDER BY score DESC, id) = 1),
+l AS (SELECT ref_id, id, CAST(r.language = n.language AS INT) AS alike FROM refs r JOIN nodes n ON lower(r.name) = lower(n.name) WHERE n.kind IN ('function', 'method', 'class') AND (r.kind <> 'references' OR r.language = n.language)),
+lo AS (SELECT ref_id, id AS target, 4, 'fuzzy', CASE WHEN alike = 1 THEN 0.5 ELSE 0.3 END FROM (SELECT * FROM l QUALIFY alike = max(alike) OVER (PARTITION BY ref_id)) QUALIFY count(*) OVER (PARTITION BY ref_id) = 1)
+SELECT ref_id, target, strategy, CAST(confidence AS DOUBLE) AS confidence FROM (SELECT * FROM qu UNION ALL SELECT * FROM pa UNION ALL SELECT * FROM ex UNION ALL SELECT * FROM lo)
+QUALIFY row_number() OVER (PARTITION BY ref_id ORDER BY priority) = 1""", "nodes"))
 def resolve_references(spark, d):
-    return _resolved(spark, d, "p_partkey % 50 = 0", "c_custkey % 10 = 0")
+    return search.resolve(references(spark, d), A.nodes(spark, d))
 
 
-def _resolved(spark, d, parts="true", customers="true"):
+def references(spark, d):
+    """Names of parts, qualified suppliers and lower-case customers as references."""
     t = lambda n: A.table(spark, d, n)
     s = lambda p, k: F.concat(F.lit(p), F.col(k).cast("string")).alias("ref_id")
-    refs = t("part").where(parts).select(s("a", "p_partkey"), F.col("p_name").alias("name"), F.lit("ECONOMY").alias("language"), F.col("p_brand").alias("file_path"))
-    refs = refs.unionByName(t("supplier").select(s("b", "s_suppkey"), F.concat(F.lit("NATION_"), F.col("s_nationkey").cast("string"), F.lit("::"), "s_name").alias("name"), F.lit("SUPPLIER").alias("language"), F.lit("").alias("file_path")))
-    refs = refs.unionByName(t("customer").where(customers).select(s("c", "c_custkey"), F.lower("c_name").alias("name"), F.col("c_mktsegment").alias("language"), F.lit("").alias("file_path")))
-    return search.resolve(refs, A.nodes(spark, d))
-
-
-@query("resolve_references_all", _SQL["resolve_references"].replace(" WHERE p_partkey % 50 = 0", "").replace(" WHERE c_custkey % 10 = 0", ""))
-def resolve_references_all(spark, d):
-    return _resolved(spark, d)
+    rest = lambda kind, language, path: (F.lit(kind).alias("kind"), language.alias("language"), path.alias("file_path"), F.lit(1).alias("line"))
+    refs = t("part").select(s("a", "p_partkey"), F.col("p_name").alias("name"), *rest("calls", F.lit("ECONOMY"), F.col("p_brand")))
+    refs = refs.unionByName(t("supplier").select(s("b", "s_suppkey"), F.concat(F.lit("NATION_"), F.col("s_nationkey").cast("string"), F.lit("::"), "s_name").alias("name"), *rest("references", F.lit("SUPPLIER"), F.lit(""))))
+    return refs.unionByName(t("customer").select(s("c", "c_custkey"), F.lower("c_name").alias("name"), *rest("calls", F.col("c_mktsegment"), F.lit(""))))
 
 
 @query("name_bonus", A.sql("""SELECT DISTINCT name, CAST(CASE WHEN lower(name) = 'redwidget' THEN 80 WHEN lower(name) IN ('red', 'widget') THEN 60 WHEN starts_with(lower(name), 'redwidget') THEN floor(10 + 30 * (9.0 / length(name)) + 0.5)
-  WHEN contains(lower(name), 'red') AND contains(lower(name), 'widget') THEN 15 WHEN contains(lower(name), 'redwidget') THEN 10 ELSE 0 END AS INT) AS bonus FROM nodes WHERE kind = 'function'""", "nodes"))
+  WHEN contains(lower(name), 'red') AND contains(lower(name), 'widget') THEN 15 WHEN contains(lower(name), 'redwidget') THEN 10 ELSE 0 END AS INT) AS bonus FROM nodes""", "nodes"))
 def name_bonus(spark, d):
-    return A.nodes(spark, d).where("kind = 'function'").select("name", S.name_bonus(F.col("name"), "red widget").alias("bonus")).distinct()
+    return A.nodes(spark, d).select("name", S.name_bonus(F.col("name"), "red widget").alias("bonus")).distinct()
 
 
 # ---- evaluation -----------------------------------------------------------------------------------------------------
 
-_EVAL = """gold AS (SELECT 'case_' || o_orderkey AS case_id, 'E' || l_linenumber AS evidence_id, 'src_' || l_partkey AS source_id, 'p/' || l_suppkey AS path, l_linenumber * 10 AS a, l_linenumber * 10 + CAST(l_quantity AS INT) AS b
+_EVAL = """gold AS (SELECT row_number() OVER () AS item, 'case_' || o_orderkey AS case_id, 'E' || l_linenumber AS evidence_id, 'src_' || l_partkey AS source_id, 'p/' || l_suppkey AS path, l_linenumber * 10 AS a, l_linenumber * 10 + CAST(l_quantity AS INT) AS b
   FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_linestatus = 'F'),
 preds AS (SELECT 'case_' || l_orderkey AS case_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_linenumber, l_suppkey, l_extendedprice) AS position, CASE WHEN l_returnflag = 'N' THEN '' ELSE 'src_' || l_partkey END AS source_id, 'p/' || l_suppkey AS path, l_linenumber * 10 + 20 AS a, l_linenumber * 10 + 25 AS b FROM lineitem),
 top AS (SELECT * FROM preds WHERE position <= 5),
-hit AS (SELECT g.case_id, evidence_id, position FROM gold g JOIN top p ON g.case_id = p.case_id AND ((p.source_id <> '' AND g.source_id = p.source_id) OR g.path = p.path) AND greatest(g.a, p.a) <= least(g.b, p.b)),
+hit AS (SELECT g.case_id, item, evidence_id, position FROM gold g JOIN top p ON g.case_id = p.case_id AND ((p.source_id <> '' AND g.source_id = p.source_id) OR g.path = p.path) AND greatest(g.a, p.a) <= least(g.b, p.b)),
 rf AS (SELECT DISTINCT case_id, source_id, path FROM gold),
 rhit AS (SELECT DISTINCT r.case_id, r.source_id, r.path FROM rf r JOIN top p ON r.case_id = p.case_id AND ((p.source_id <> '' AND r.source_id = p.source_id) OR r.path = p.path)),
 one AS (SELECT 'case_' || o_orderkey AS case_id, CASE WHEN o_orderstatus = 'P' THEN 'unanswerable_missing_evidence' ELSE 'answerable' END AS answerability, o_orderpriority, o_orderstatus FROM orders),
 counted AS (SELECT one.*, coalesce(ng, 0) AS ng, coalesce(np, 0) AS np, coalesce(nr, 0) AS nr, coalesce(m, 0) AS m, coalesce(mp, 0) AS mp, coalesce(ids, '') AS ids, coalesce(mr, 0) AS mr FROM one
   LEFT JOIN (SELECT case_id, count(*) AS ng FROM gold GROUP BY 1) USING (case_id) LEFT JOIN (SELECT case_id, count(*) AS np FROM top GROUP BY 1) USING (case_id) LEFT JOIN (SELECT case_id, count(*) AS nr FROM rf GROUP BY 1) USING (case_id)
-  LEFT JOIN (SELECT case_id, count(DISTINCT evidence_id) AS m, count(DISTINCT position) AS mp, string_agg(DISTINCT evidence_id, ',' ORDER BY evidence_id) AS ids FROM hit GROUP BY 1) USING (case_id) LEFT JOIN (SELECT case_id, count(*) AS mr FROM rhit GROUP BY 1) USING (case_id)),
+  LEFT JOIN (SELECT case_id, count(DISTINCT item) AS m, count(DISTINCT position) AS mp FROM hit GROUP BY 1) USING (case_id) LEFT JOIN (SELECT case_id, string_agg(evidence_id, ',' ORDER BY evidence_id) AS ids FROM (SELECT DISTINCT case_id, item, evidence_id FROM hit) GROUP BY 1) USING (case_id) LEFT JOIN (SELECT case_id, count(*) AS mr FROM rhit GROUP BY 1) USING (case_id)),
 free AS (SELECT *, CASE WHEN answerability = 'unanswerable_missing_evidence' AND ng = 0 AND nr = 0 THEN 1.0 ELSE 0.0 END AS f FROM counted),
 scored AS (SELECT *, CASE WHEN nr > 0 THEN mr / nr ELSE f END AS rr, CASE WHEN ng > 0 THEN m / ng ELSE f END AS er, CASE WHEN np > 0 THEN mp / np ELSE f END AS ep FROM free)"""
 
@@ -304,33 +298,6 @@ def retrieval_slices(spark, d):
     return evaluation.slices(scores, ["o_orderpriority", "o_orderstatus"]).withColumns({c: F.round(c, 6) for c in ("pass_rate", "mean_recall")})
 
 
-_ANSWERS = "answers AS (SELECT 'case_' || l_orderkey AS case_id, string_agg('see p/' || l_suppkey || ':' || (l_linenumber * 10 + 5), '; ' ORDER BY l_partkey, l_linenumber, l_suppkey, l_extendedprice) AS answer FROM lineitem WHERE l_discount < 0.08 GROUP BY 1)"
-
-
-@query("citation_pass", "WITH " + _ANSWERS + """, need AS (SELECT 'case_' || l_orderkey AS case_id, 'p/' || l_suppkey AS path, l_linenumber * 10 AS a, l_linenumber * 10 + 9 AS b FROM lineitem WHERE l_returnflag = 'R'),
-cite AS (SELECT 'case_' || l_orderkey AS case_id, 'p/' || l_suppkey AS path, l_linenumber * 10 + 5 AS c FROM lineitem WHERE l_discount < 0.08),
-ok AS (SELECT n.*, EXISTS (SELECT 1 FROM cite c WHERE c.case_id = n.case_id AND c.path = n.path AND c.c BETWEEN n.a AND n.b) AS hit FROM need n)
-SELECT a.case_id, coalesce(bool_and(hit), true) AS citation_pass FROM answers a LEFT JOIN ok USING (case_id) GROUP BY 1""")
-def citation_pass(spark, d):
-    li = A.table(spark, d, "lineitem").withColumn("case_id", F.concat(F.lit("case_"), F.col("l_orderkey").cast("string"))).withColumn("path", F.concat(F.lit("p/"), F.col("l_suppkey").cast("string")))
-    cite = li.where("l_discount < 0.08").withColumn("x", F.concat(F.lit("see "), "path", F.lit(":"), (F.col("l_linenumber") * 10 + 5).cast("string")))
-    answers = cite.groupBy("case_id").agg(F.array_join(F.array_sort(F.collect_list("x")), "; ").alias("answer"))
-    ten = F.col("l_linenumber") * 10
-    need = li.where("l_returnflag = 'R'").select("case_id", "path", F.concat_ws("-", ten.cast("string"), (ten + 9).cast("string")).alias("lines"))
-    return evaluation.citation_pass(answers, need)
-
-
-@query("adversarial_gate", """WITH o AS (SELECT l_orderkey AS case_id, l_shipmode AS attribute, b, outcome FROM (SELECT l_orderkey, l_returnflag AS l_shipmode, l_linenumber % 3 AS b, CASE WHEN l_quantity > 25 THEN 'failed' ELSE 'succeeded' END AS outcome FROM lineitem)),
-p AS (SELECT case_id, attribute, bool_and(outcome = 'failed') AS confirmed FROM o GROUP BY 1, 2), t AS (SELECT case_id, bool_or(confirmed) AS ok FROM p GROUP BY 1),
-r AS (SELECT DISTINCT l_orderkey AS case_id, l_returnflag AS attribute, b FROM lineitem, (VALUES (0), (1)) AS v(b) WHERE l_linenumber = 1),
-m AS (SELECT r.case_id, count(*) AS untested FROM r LEFT JOIN (SELECT DISTINCT case_id, attribute, b FROM o) x ON r.case_id = x.case_id AND r.attribute = x.attribute AND r.b = x.b WHERE x.case_id IS NULL GROUP BY 1)
-SELECT DISTINCT r.case_id, coalesce(ok, false) AND coalesce(untested, 0) = 0 AS passed, coalesce(untested, 0) AS untested FROM r LEFT JOIN t USING (case_id) LEFT JOIN m USING (case_id)""")
-def adversarial_gate(spark, d):
-    li = A.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("case_id"), F.col("l_returnflag").alias("attribute"), "l_linenumber", F.when(F.col("l_quantity") > 25, "failed").otherwise("succeeded").alias("outcome"))
-    required = li.where("l_linenumber = 1").select("case_id", "attribute", F.explode(F.array(F.lit(0), F.lit(1))).alias("baseline")).distinct()
-    return evaluation.adversarial(li.withColumn("baseline", F.col("l_linenumber") % 3), required)
-
-
 @query("token_totals", """SELECT event_type, count(*) AS events, count(k) AS covered, CAST(coalesce(sum(k), 0) AS BIGINT) AS total_tokens, round(coalesce(avg(k), 0), 6) AS mean_tokens FROM (SELECT event_type, TRY_CAST(props->>'$.k' AS BIGINT) AS k FROM events) GROUP BY 1""")
 def token_totals(spark, d):
     usage = A.table(spark, d, "events").select("event_type", F.get_json_object("props", "$.k").try_cast("bigint").alias("total_tokens"), F.lit(None).cast("bigint").alias("input_tokens"), F.lit(None).cast("bigint").alias("output_tokens"))
@@ -344,39 +311,79 @@ def latest_usage(spark, d):
 
 # ---- signals and sampling -------------------------------------------------------------------------------------------
 
-_SIG = """ent AS (SELECT 'part:' || p_partkey AS entity_id, p_brand AS source_id, p_name AS name FROM part),
+_SIG = """ent AS (SELECT 'part:' || p_partkey AS entity_id, p_brand AS source_id, p_name AS name, CAST(p_size AS VARCHAR) AS line FROM part),
 src AS (SELECT DISTINCT p_brand AS source_id, CASE length(p_brand) % 2 WHEN 0 THEN 'script' ELSE 'code' END AS modality, 'verilog' AS language FROM part),
-rel AS (SELECT 'part:' || l_partkey AS object_id FROM lineitem WHERE l_quantity > 48)"""
+rel AS (SELECT 'rel_' || o_orderkey AS relation_id, 'Brand#' || (o_orderkey % 25 + 1) AS subject_id, 'part:' || o_custkey AS object_id, CASE o_orderkey % 4 WHEN 0 THEN 'contains' WHEN 1 THEN 'imports_or_includes' WHEN 2 THEN 'doc_mentions_entity' ELSE 'checks_condition' END AS predicate, CAST(o_orderkey % 9 AS VARCHAR) AS line FROM orders)"""
 
 
-def _bundle(spark, d):
+def bundle_tables(spark, d):
+    """Brands as sources, parts as entities, orders as relations to the parts of their customers' numbers."""
     t = lambda n: A.table(spark, d, n)
-    part = F.concat(F.lit("part:"), F.col("p_partkey").cast("string"))
-    ent = t("part").select(part.alias("entity_id"), F.col("p_brand").alias("source_id"), F.col("p_name").alias("name"))
+    key = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
+    ent = t("part").select(key("part:", "p_partkey").alias("entity_id"), F.col("p_brand").alias("source_id"), F.col("p_name").alias("name"), F.col("p_size").alias("line_start"))
     src = ent.select("source_id").distinct().select("source_id", F.when(F.length("source_id") % 2 == 0, "script").otherwise("code").alias("modality"), F.lit("verilog").alias("language"))
-    rel = t("lineitem").where("l_quantity > 48").select(F.lit("order").alias("subject_id"), F.lit("source").alias("subject_type"), F.concat(F.lit("part:"), F.col("l_partkey").cast("string")).alias("object_id"), F.lit("entity").alias("object_type"), F.lit("calls").alias("predicate"))
+    k = F.col("o_orderkey")
+    predicate = F.when(k % 4 == 0, "contains").when(k % 4 == 1, "imports_or_includes").when(k % 4 == 2, "doc_mentions_entity").otherwise("checks_condition")
+    brand = F.concat(F.lit("Brand#"), (k % 25 + 1).cast("string"))
+    evidence = F.array(F.struct(brand.alias("source_id"), (k % 9).cast("string").alias("lines")))
+    rel = t("orders").select(key("rel_", "o_orderkey").alias("relation_id"), brand.alias("subject_id"), F.lit("source").alias("subject_type"), key("part:", "o_custkey").alias("object_id"), F.lit("entity").alias("object_type"), predicate.alias("predicate"), evidence.alias("evidence"))
     return src, ent, rel
 
 
-@query("signals_all", "WITH " + _SIG + """, every AS (
-  SELECT 2 AS axis, 'long_tail' AS attribute, source_id, entity_id, entity_id AS salt FROM ent LEFT JOIN (SELECT object_id AS entity_id, count(*) AS n FROM rel GROUP BY 1) USING (entity_id) WHERE coalesce(n, 0) <= 3
-  UNION ALL SELECT 2, 'non_code_anchor', source_id, entity_id, entity_id FROM ent JOIN src USING (source_id) WHERE modality = 'script'
-  UNION ALL SELECT 2, 'distracting_info', source_id, entity_id, entity_id FROM ent WHERE name IN (SELECT name FROM ent GROUP BY name HAVING count(DISTINCT source_id) >= 2)
-  UNION ALL SELECT 3, 'implicit_domain_knowledge', source_id, NULL, '' FROM src)
-SELECT 'sig_demo_' || substr(sha256(source_id || '|' || attribute || '|' || salt), 1, 12) AS signal_id, axis, attribute, source_id, entity_id FROM every""")
+_EMITTED = _SIG + """, raw AS (
+  SELECT 2 AS axis, 'long_tail' AS attribute, source_id, entity_id, line FROM ent LEFT JOIN (SELECT object_id AS entity_id, count(*) AS n FROM rel GROUP BY 1) USING (entity_id) WHERE coalesce(n, 0) <= 3
+  UNION ALL SELECT 2, 'non_code_anchor', source_id, entity_id, line FROM ent JOIN src USING (source_id) WHERE modality = 'script'
+  UNION ALL SELECT 2, 'distracting_info', source_id, entity_id, line FROM ent WHERE name IN (SELECT name FROM ent GROUP BY name HAVING count(DISTINCT source_id) >= 2)
+  UNION ALL SELECT 3, 'implicit_domain_knowledge', source_id, NULL, '1' FROM src
+  UNION ALL SELECT 3, 'doc_code_divergence', src.source_id, ent.entity_id, rel.line FROM rel JOIN src ON subject_id = src.source_id JOIN ent ON object_id = entity_id WHERE predicate = 'doc_mentions_entity'),
+emitted AS (SELECT 'sig:demo:' || attribute || ':' || replace(source_id, '_', '-') || '-' || substr(sha256(source_id || '|' || line || '|' || attribute || '|'), 1, 12) AS signal_id, axis, attribute, source_id, entity_id, line AS lines FROM raw)"""
+
+
+@query("signals_all", "WITH " + _EMITTED + " SELECT * FROM emitted")
 def signals_all(spark, d):
-    return signals.emit_all(*_bundle(spark, d)).select("signal_id", "axis", "attribute", "source_id", "entity_id")
+    return signals.emit_all(*bundle_tables(spark, d)).select("signal_id", "axis", "attribute", "source_id", "entity_id", "lines")
 
 
-@query("first_signal_per_source", "WITH " + _SIG + """ SELECT source_id, min(entity_id) AS entity_id FROM ent GROUP BY 1""")
+@query("first_signal_per_source", "WITH " + _EMITTED + " SELECT source_id, attribute, min(signal_id) AS signal_id FROM emitted GROUP BY 1, 2")
 def first_signal_per_source(spark, d):
-    return signals.first_by(_bundle(spark, d)[1], ["source_id"], ["entity_id"]).select("source_id", "entity_id")
+    return signals.first_by(signals.emit_all(*bundle_tables(spark, d)), ["source_id", "attribute"], ["signal_id"]).select("source_id", "attribute", "signal_id")
+
+
+@query("signals_built", "WITH " + _SIG + r""", raw AS (
+  SELECT 2 AS axis, 'long_tail' AS attribute, entity_id AS anchor_id, source_id, CASE WHEN line <> '0' THEN line END AS lines FROM ent LEFT JOIN (SELECT object_id AS entity_id, count(*) AS n FROM rel GROUP BY 1) USING (entity_id) WHERE coalesce(n, 0) <= 3
+  UNION ALL SELECT 2, 'non_code_anchor', source_id, source_id, NULL FROM src WHERE modality = 'script'
+  UNION ALL SELECT 2, 'distracting_info', entity_id, source_id, CASE WHEN line <> '0' THEN line END FROM ent WHERE name IN (SELECT name FROM ent GROUP BY name HAVING count(DISTINCT source_id) >= 2)
+  UNION ALL SELECT 3, 'conditional_behavior', relation_id, subject_id, line FROM rel WHERE predicate = 'checks_condition'
+  UNION ALL SELECT 3, CASE predicate WHEN 'doc_mentions_entity' THEN 'doc_code_divergence' ELSE 'implicit_domain_knowledge' END, relation_id, subject_id, line FROM rel WHERE predicate <> 'checks_condition')
+SELECT 'sig:demo:' || attribute || ':' || substr(regexp_replace(regexp_replace(lower(anchor_id), '[^\p{L}\p{N}]+', '-', 'g'), '^-|-$', '', 'g'), 1, 80) || '-' || substr(sha1(anchor_id), 1, 12) AS signal_id, axis, attribute, anchor_id, source_id, lines FROM raw""")
+def signals_built(spark, d):
+    return signals.emit_all(*bundle_tables(spark, d), registry=signals.BUILDERS).select("signal_id", "axis", "attribute", "anchor_id", "source_id", "lines")
+
+
+@query("name_collisions", "WITH " + _SIG + " SELECT name, string_agg(DISTINCT source_id, ',' ORDER BY source_id) AS sources, count(DISTINCT source_id) AS n_sources, count(*) AS n_entities FROM ent GROUP BY name HAVING count(DISTINCT source_id) >= 2")
+def name_collisions(spark, d):
+    return signals.collisions(bundle_tables(spark, d)[1]).select("name", F.array_join("sources", ",").alias("sources"), F.col("n_sources").cast("long").alias("n_sources"), "n_entities")
+
+
+@query("endpoint_counts", "WITH " + _SIG + " SELECT object_id AS entity_id, count(*) AS n FROM rel GROUP BY 1")
+def endpoint_counts(spark, d):
+    return signals.endpoints(bundle_tables(spark, d)[2])
+
 
+@query("disambiguated_signals", "WITH " + _EMITTED + r""", named AS (SELECT *, 'x:' || attribute AS id, row_number() OVER (PARTITION BY attribute ORDER BY signal_id, entity_id) AS nth FROM emitted WHERE entity_id IS NOT NULL),
+suffixed AS (SELECT CASE WHEN nth > 1 THEN id || ':' || regexp_replace(entity_id, ':', '-') || '-' || substr(sha1(entity_id), 1, 12) ELSE id END AS id, nth, attribute, entity_id FROM named)
+SELECT id AS signal_id, attribute, entity_id FROM suffixed QUALIFY row_number() OVER (PARTITION BY id ORDER BY nth DESC) = 1""")
+def disambiguated_signals(spark, d):
+    own = signals.emit_all(*bundle_tables(spark, d)).where("entity_id is not null")
+    named = own.withColumns({"order_id": F.col("signal_id"), "signal_id": F.concat(F.lit("x:"), "attribute")})
+    return signals.suffixed(named, ["order_id", "entity_id"], "entity_id").select("signal_id", "attribute", "entity_id")
 
-@query("conditional_lines", A.sql(r"""SELECT source_id, CAST(line AS INT) AS line, substr(trim(text, ' '), 1, 160) AS text FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY line) AS nth FROM lines
-  WHERE regexp_matches(text, '(?i)(^|[^a-z0-9_])(if|else|elif|case|when|switch|while|unless)([^a-z0-9_]|$)|&&|\|\||\?')) WHERE nth <= 5""", "lines"))
+
+@query("conditional_lines", A.sql(r"""SELECT source_id, CAST(min(line) OVER (PARTITION BY source_id) AS INT) AS first_line, CAST(line AS INT) AS line, substr(regexp_replace(text, '^\s+|\s+$', '', 'g'), 1, 160) AS text FROM lines
+  WHERE regexp_matches(text, '(?i)(^|[^\p{L}\p{N}_])(if|else|case|switch|when|guard|assert|for|while|unless)([^\p{L}\p{N}_]|$)|&&|\|\||\?') AND source_id IN (SELECT source_id FROM sources WHERE modality IN ('code', 'script', 'config', 'test'))
+  QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY line) <= 5""", "sources", "lines"))
 def conditional_lines(spark, d):
-    return signals.conditional_text(A.lines(spark, d)).select("source_id", "line", "text")
+    return signals.conditional_text(A.lines(spark, d), A.sources(spark, d)).select("source_id", "first_line", "line", "text")
 
 
 @query("sampled_signals", """WITH s AS (SELECT p_partkey, 'sig_' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS signal_id FROM part), n AS (SELECT signal_id, row_number() OVER (ORDER BY signal_id) - 1 AS ordinal FROM s),
@@ -386,20 +393,11 @@ def sampled_signals(spark, d):
     return signals.picked(own, A.table(spark, d, "supplier").select(F.col("s_suppkey").alias("case_id"), F.col("s_suppkey").alias("index")))
 
 
-@query("two_hop_neighbours", """WITH r AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS o FROM lineitem WHERE l_quantity > 40 AND l_partkey % 5 = 0),
+@query("two_hop_neighbours", """WITH r AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS o FROM lineitem),
 p AS (SELECT DISTINCT a.s AS anchor, b.s AS neighbour FROM r a JOIN r b ON a.o = b.o AND a.s <> b.s)
 SELECT anchor, neighbour, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY neighbour) AS rank FROM p) WHERE rank <= 3""")
 def two_hop_neighbours(spark, d):
-    return signals.two_hops(_supplies(spark, d).where("l_quantity > 40 and object_id % 5 = 0"))
-
-
-def _supplies(spark, d):
-    return A.table(spark, d, "lineitem").select("l_quantity", F.col("l_suppkey").alias("subject_id"), F.col("l_partkey").alias("object_id"), F.lit("imports_or_includes").alias("predicate"))
-
-
-@query("two_hop_neighbours_all", _SQL["two_hop_neighbours"].replace(" WHERE l_quantity > 40 AND l_partkey % 5 = 0", ""))
-def two_hop_neighbours_all(spark, d):
-    return signals.two_hops(_supplies(spark, d))
+    return signals.two_hops(A.table(spark, d, "lineitem").select(F.col("l_suppkey").alias("subject_id"), F.col("l_partkey").alias("object_id"), F.lit("imports_or_includes").alias("predicate")))
 
 
 # ---- quality --------------------------------------------------------------------------------------------------------
@@ -435,10 +433,10 @@ def evidence_reuse(spark, d):
 
 @query("answer_findings", r"""WITH a AS (SELECT conv_id * 1000 + turn AS key, text FROM conversations WHERE role = 'assistant')
 SELECT severity, rule, CAST(key AS VARCHAR) AS key FROM (SELECT 'WARN' AS severity, 'short' AS rule, key FROM a WHERE length(trim(text, ' ')) < 40 UNION ALL SELECT 'FAIL', 'citation', key FROM a WHERE NOT regexp_matches(text, '[A-Za-z0-9_./@+-]+:[0-9]+')
-UNION ALL SELECT 'WARN', 'yes_no', key FROM a WHERE regexp_matches(lower(text), '^(yes|no)([^a-z]|$)'))""")
+UNION ALL SELECT 'WARN', 'yes_no', key FROM a WHERE regexp_matches(lower(text), '^(yes|no)([^a-z]|$)') UNION ALL SELECT 'WARN', 'refusal', key FROM a WHERE contains(lower(text), 'cannot be determined') OR contains(lower(text), 'not enough evidence') OR contains(lower(text), 'insufficient evidence'))""")
 def answer_findings(spark, d):
     own = A.table(spark, d, "conversations").where("role = 'assistant'").select((F.col("conv_id") * 1000 + F.col("turn")).alias("key"), "text")
-    return quality.answer_rules(own).where("rule <> 'refusal'").select("severity", "rule", "key")
+    return quality.answer_rules(own).select("severity", "rule", "key")
 
 
 @query("bundle_diff", """SELECT coalesce(a.v, b.v) AS value, coalesce(x, 0) AS n_old, coalesce(y, 0) AS n_new, coalesce(y, 0) - coalesce(x, 0) AS change FROM (SELECT p_type AS v, count(*) AS x FROM part WHERE p_size <= 25 GROUP BY 1) a
@@ -448,18 +446,6 @@ def bundle_diff(spark, d):
     return quality.bundle_diff(part.where("p_size <= 25"), part.where("p_size > 25"), "p_type")
 
 
-@query("structural_gate", """SELECT case_id, concat_ws(',', CASE WHEN layer <> ax THEN 'DIFFICULTY_LAYER_MISMATCH' END, CASE WHEN n_attr = 0 THEN 'MISSING_CLAIM_SOURCE_ATTRIBUTE' END, CASE WHEN layer <> 'L3' THEN 'INSUFFICIENT_DIFFICULTY_SIGNALS' END,
-  CASE WHEN layer = 'L2' AND ns < 2 THEN 'L2_SINGLE_SOURCE' END, CASE WHEN layer = 'L3' AND ns < 2 THEN 'L3_SINGLE_SOURCE' END, CASE WHEN layer = 'L3' AND NOT chain THEN 'L3_NO_ATOM_CHAIN' END, CASE WHEN typ = 'yes_no' AND nf = 0 THEN 'FORBIDDEN_ATOMS_REQUIRED' END) AS codes
-FROM (SELECT l_orderkey AS case_id, 'L' || (l_orderkey % 3 + 1) AS layer, 'L' || (l_orderkey % 4 + 1) AS ax, CAST(l_orderkey % 7 <> 0 AS INT) AS n_attr, count(DISTINCT l_suppkey) AS ns, max(l_quantity) > 40 AS chain, CASE WHEN l_orderkey % 5 = 0 THEN 'yes_no' ELSE 'explain' END AS typ, count(*) FILTER (l_returnflag = 'R') AS nf FROM lineitem GROUP BY l_orderkey)""")
-def structural_gate(spark, d):
-    k = F.col("case_id")
-    rows = A.table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("case_id")).agg(F.collect_set(F.col("l_suppkey").cast("string")).alias("evidence_sources"), (F.max("l_quantity") > 40).alias("depends_on"), F.count_if(F.col("l_returnflag") == "R").alias("n_forbidden"))
-    level = lambda m: F.concat(F.lit("L"), (k % m + 1).cast("string"))
-    rows = rows.withColumns({"layer": level(3), "axis1_layer": level(4), "attributes": F.array(F.lit("long_tail")), "answer_type": F.when(k % 5 == 0, "yes_no").otherwise("explain"), "answerability": F.lit("answerable"), "evidence_roles": F.array(F.lit("support"))})
-    rows = rows.withColumn("claim_sources", F.when(k % 7 == 0, F.create_map(F.lit("other"), F.array(F.lit("s")))).otherwise(F.create_map(F.lit("long_tail"), F.array(F.lit("s")))))
-    return quality.gate_codes(rows).select("case_id", "codes")
-
-
 # ---- incremental ----------------------------------------------------------------------------------------------------
 
 
@@ -478,13 +464,13 @@ def event_bursts(spark, d):
     return sync.bursts(A.table(spark, d, "events"), "6 hours", "user_id").groupBy("user_id", "n").agg(F.count(F.lit(1)).alias("bursts"))
 
 
-@query("pending_files", """SELECT CAST(user_id AS VARCHAR) AS path, min(event_id) AS first_event, max(event_id) AS last_event, count(*) AS n FROM events WHERE event_type = 'click' GROUP BY 1""")
+@query("pending_files", """SELECT CAST(user_id AS VARCHAR) AS path, min(event_id) AS first_event, max(event_id) AS last_event, count(*) AS n FROM events GROUP BY 1""")
 def pending_files(spark, d):
-    ev = A.table(spark, d, "events").where("event_type = 'click'")
+    ev = A.table(spark, d, "events")
     return sync.pending_files(ev.select(F.col("user_id").cast("string").alias("path"), F.col("event_id").alias("ts"))).select("path", F.col("first_seen").alias("first_event"), F.col("last_seen").alias("last_event"), "n")
 
 
-@query("snippets", A.sql("""SELECT source_id AS key, CASE WHEN j = '' THEN '(blank lines)' WHEN length(j) > 180 THEN substr(j, 1, 180) || '...' ELSE j END AS snippet FROM (
+@query("snippets", A.sql("""SELECT source_id AS key, CASE WHEN j = '' THEN '(blank lines)' WHEN length(j) > 180 THEN rtrim(substr(j, 1, 177), ' ') || '...' ELSE j END AS snippet FROM (
   SELECT source_id, coalesce(string_agg(t, ' / ' ORDER BY line) FILTER (t <> ''), '') AS j FROM (SELECT source_id, line, trim(regexp_replace(text, '\\s+', ' ', 'g'), ' ') AS t FROM lines WHERE line <= 3) GROUP BY 1)""".replace("\\\\", "\\"), "lines"))
 def snippets(spark, d):
     own = A.sources(spark, d)
@@ -494,66 +480,33 @@ def snippets(spark, d):
 # ---- export and assembly --------------------------------------------------------------------------------------------
 
 
-@query("entity_index", A.sql("""SELECT 'ent_demo_' || substr(sha256('demo|' || 'src_' || file_path || '|' || k || '|' || name || '|' || start_line), 1, 12) AS entity_id, id AS node_id, 'src_' || file_path AS source_id, name, k AS kind, start_line AS line
-  FROM (SELECT *, CASE kind WHEN 'method' THEN 'function' ELSE kind END AS k FROM nodes WHERE file_path LIKE 'NATION%' OR file_path LIKE 'Brand%')""", "nodes"))
-def entity_index(spark, d):
-    return _entities(spark, d, "path like 'NATION%' or path like 'Brand%'")
-
-
-def _entities(spark, d, tracked="true"):
-    nodes = A.nodes(spark, d)
-    files = nodes.select(F.col("file_path").alias("path")).where(tracked).distinct().withColumn("source_id", F.concat(F.lit("src_"), "path"))
-    return assembly.entity_index(nodes, files)
-
-
-@query("entity_index_all", _SQL["entity_index"].replace(" WHERE file_path LIKE 'NATION%' OR file_path LIKE 'Brand%'", ""))
-def entity_index_all(spark, d):
-    return _entities(spark, d)
-
-
-@query("relation_graph", A.sql("""SELECT r.*, 'rel_demo_' || lpad(CAST(row_number() OVER (ORDER BY subject_id, predicate, object_id, line) AS VARCHAR), 7, '0') AS relation_id FROM (
-  SELECT 'e_' || source AS subject_id, 'entity' AS subject_type, edges.kind AS predicate, 'e_' || target AS object_id, 'entity' AS object_type, line FROM edges WHERE source NOT LIKE 'method%' AND target NOT LIKE 'method%') r""", "edges"))
-def relation_graph(spark, d):
-    return _relations(spark, d, "kind <> 'method'")
-
-
-def _relations(spark, d, kinds="true"):
-    ends = A.nodes(spark, d).where(kinds).select(F.col("id").alias("node_id"), F.concat(F.lit("e_"), "id").alias("end_id"), F.lit("entity").alias("end_type"))
-    return assembly.ordinals(assembly.relation_graph(A.edges(spark, d), ends), "relation_id", "rel_demo_%07d", ["subject_id", "predicate", "object_id", "line"])
-
-
-@query("relation_graph_all", _SQL["relation_graph"].replace(" WHERE source NOT LIKE 'method%' AND target NOT LIKE 'method%'", ""))
-def relation_graph_all(spark, d):
-    return _relations(spark, d)
-
-
 @query("capped_by_file", A.sql("""SELECT file_path, id FROM (SELECT file_path, id, row_number() OVER (PARTITION BY file_path ORDER BY CASE kind WHEN 'module' THEN 0 ELSE 1 END, id) AS nth FROM nodes) WHERE nth <= 5""", "nodes"))
 def capped_by_file(spark, d):
     return assembly.capped(A.nodes(spark, d), ["file_path"], [F.when(F.col("kind") == "module", 0).otherwise(1), "id"], 5).select("file_path", "id")
 
 
-@query("signals_for_rows", """SELECT DISTINCT l_orderkey AS case_id, p_partkey AS signal_id FROM lineitem JOIN part ON (p_partkey % 100 = l_suppkey % 100 AND p_size = l_linenumber) WHERE l_quantity > 49
-UNION SELECT l_orderkey, p_partkey FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_quantity > 49""")
+@query("signals_for_rows", """SELECT DISTINCT l_orderkey AS case_id, p_partkey AS signal_id FROM lineitem JOIN part ON (p_partkey % 100 = l_suppkey % 100 AND p_size = l_linenumber)
+UNION SELECT l_orderkey, p_partkey FROM lineitem JOIN part ON p_partkey = l_partkey""")
 def signals_for_rows(spark, d):
     key = lambda a, b: F.concat_ws("/", (F.col(a) % 100).cast("string"), F.col(b).cast("string"))
-    rows = A.table(spark, d, "lineitem").where("l_quantity > 49").select(F.col("l_orderkey").alias("case_id"), key("l_suppkey", "l_linenumber").alias("source_id"), F.col("l_partkey").alias("path"))
+    rows = A.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("case_id"), key("l_suppkey", "l_linenumber").alias("source_id"), F.col("l_partkey").alias("path"))
     return assembly.signals_for_rows(rows, A.table(spark, d, "part").select(key("p_partkey", "p_size").alias("source_id"), F.col("p_partkey").alias("path"), F.col("p_partkey").alias("signal_id")))
 
 
 @query("claim_findings", """SELECT o_orderkey AS case_id, o_custkey AS signal_id, CASE WHEN c_custkey IS NULL THEN 'UNKNOWN_CLAIM_SOURCE_SIGNAL' ELSE 'CLAIM_SOURCE_SIGNAL_MISMATCH' END AS code FROM orders
-LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 7 <> 0) ON o_custkey = c_custkey WHERE c_custkey IS NULL OR o_orderkey % 5 <> c_nationkey % 5 OR c_mktsegment <> 'BUILDING'""")
+LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 7 <> 0) ON o_custkey = c_custkey WHERE c_custkey IS NULL OR o_orderkey % 5 <> c_nationkey % 5 OR c_mktsegment <> 'BUILDING' OR o_orderkey % 2 <> c_custkey % 2""")
 def claim_findings(spark, d):
-    claims = A.table(spark, d, "orders").select(F.col("o_orderkey").alias("case_id"), F.col("o_custkey").alias("signal_id"), (F.col("o_orderkey") % 5).alias("axis"), F.lit("BUILDING").alias("attribute"))
-    sig = A.table(spark, d, "customer").where("c_custkey % 7 <> 0").select(F.col("c_custkey").alias("signal_id"), (F.col("c_nationkey") % 5).alias("axis"), F.col("c_mktsegment").alias("attribute"))
+    claims = A.table(spark, d, "orders").select(F.col("o_orderkey").alias("case_id"), F.col("o_custkey").alias("signal_id"), (F.col("o_orderkey") % 2).alias("project"), (F.col("o_orderkey") % 5).alias("axis"), F.lit("BUILDING").alias("attribute"))
+    sig = A.table(spark, d, "customer").where("c_custkey % 7 <> 0").select(F.col("c_custkey").alias("signal_id"), (F.col("c_custkey") % 2).alias("project"), (F.col("c_nationkey") % 5).alias("axis"), F.col("c_mktsegment").alias("attribute"))
     return assembly.claim_findings(claims, sig)
 
 
-@query("implements_edges", """WITH m AS (SELECT DISTINCT l_suppkey AS t, p_type AS name FROM lineitem JOIN part ON l_partkey = p_partkey), i AS (SELECT DISTINCT s_nationkey AS i, p_type AS name FROM supplier JOIN part ON p_partkey % 25 = s_nationkey WHERE p_size > 40)
+@query("implements_edges", """WITH m AS (SELECT DISTINCT l_suppkey AS t, p_type AS name FROM lineitem JOIN part ON l_partkey = p_partkey), i AS (SELECT DISTINCT s_nationkey AS i, p_type AS name FROM supplier JOIN part ON p_partkey % 25 = s_nationkey)
 SELECT t AS type, i + 100000 AS interface FROM m JOIN i USING (name) GROUP BY t, i HAVING count(*) = (SELECT count(*) FROM i x WHERE x.i = i.i)""")
 def implements_edges(spark, d):
     t = lambda n: A.table(spark, d, n)
     m = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_suppkey").alias("owner"), F.col("p_type").alias("name"))
-    i = t("supplier").join(t("part").where("p_size > 40"), F.col("p_partkey") % 25 == F.col("s_nationkey")).select((F.col("s_nationkey") + 100000).alias("owner"), F.col("p_type").alias("name"))
+    i = t("supplier").join(t("part"), F.col("p_partkey") % 25 == F.col("s_nationkey")).select((F.col("s_nationkey") + 100000).alias("owner"), F.col("p_type").alias("name"))
     return assembly.implements(m, i)
 
 
@@ -569,9 +522,3 @@ def rubric_atoms(spark, d):
 @query("case_coverage", """SELECT k AS case_id, concat_ws(',', CASE WHEN max(a) = 0 THEN 'candidates' END, CASE WHEN max(b) = 0 THEN 'claims' END) AS missing FROM (SELECT o_orderkey AS k, 1 AS a, 0 AS b FROM orders UNION ALL SELECT l_orderkey, 0, 1 FROM lineitem WHERE l_quantity > 30) GROUP BY 1""")
 def case_coverage(spark, d):
     return assembly.case_coverage({"candidates": A.table(spark, d, "orders").select(F.col("o_orderkey").alias("case_id")), "claims": A.table(spark, d, "lineitem").where("l_quantity > 30").select(F.col("l_orderkey").alias("case_id"))})
-
-
-@query("adversarial_outcomes", """SELECT doc_id AS key, CASE WHEN trim(substr(text, 1, 60), ' ') = '' THEN 'inconclusive' WHEN len(list_intersect(regexp_extract_all(lower(substr(text, 1, 60)), '[a-z_][a-z0-9_]{2,}'), regexp_extract_all(lower(text), '[a-z_][a-z0-9_]{2,}'))) > 0 THEN 'succeeded' ELSE 'failed' END AS outcome FROM documents""")
-def adversarial_outcomes(spark, d):
-    docs = A.table(spark, d, "documents")
-    return docs.select(F.col("doc_id").alias("key"), assembly.outcome(F.substring("text", 1, 60), F.col("text"), F.lit(False)).alias("outcome"))

@@ -13,10 +13,11 @@ KIND_MAP = {"method": "function", "trait": "interface", "protocol": "interface",
 NOT_EXPORTED = ("file", "import")
 
 
-def bundle_kind(kind: Column) -> Column:
-    """The bundle's kind; null for what is not exported."""
+def bundle_kind(kind: Column, language: Column | None = None) -> Column:
+    """The bundle's kind; null for what is not exported. A Verilog class is a module."""
     table = F.create_map(*[F.lit(x) for kv in KIND_MAP.items() for x in kv])
-    return F.when(~kind.isin(*NOT_EXPORTED), F.coalesce(F.try_element_at(table, kind), kind))
+    verilog = (kind == "class") & (F.lower(F.coalesce(language, F.lit(""))) == "verilog") if language is not None else F.lit(False)
+    return F.when(~kind.isin(*NOT_EXPORTED), F.when(verilog, "module").otherwise(F.coalesce(F.try_element_at(table, kind), kind)))
 
 
 def bundle_predicate(kind: Column) -> Column:
@@ -25,7 +26,7 @@ def bundle_predicate(kind: Column) -> Column:
 
 def entity_index(nodes: DataFrame, files: DataFrame, project: str = "demo") -> DataFrame:
     """(entity_id, node_id, source_id, name, kind, line) of the nodes of tracked files (path, source_id)."""
-    own = nodes.join(files, nodes["file_path"] == files["path"]).withColumn("bundle_kind", bundle_kind(F.col("kind"))).where("bundle_kind is not null")
+    own = nodes.join(files, nodes["file_path"] == files["path"]).withColumn("bundle_kind", bundle_kind(F.col("kind"), F.col("language"))).where("bundle_kind is not null")
     eid = S.entity_id(F.lit(project), F.col("source_id"), F.col("bundle_kind"), F.col("name"), F.col("start_line"))
     return own.select(eid.alias("entity_id"), F.col("id").alias("node_id"), "source_id", "name", F.col("bundle_kind").alias("kind"), F.col("start_line").alias("line"))
 
@@ -65,11 +66,13 @@ def signals_for_rows(rows: DataFrame, signals: DataFrame) -> DataFrame:
 
 
 def claim_findings(claims: DataFrame, signals: DataFrame) -> DataFrame:
-    """(case_id, signal_id, code): claims (case_id, axis, attribute, signal_id) on unknown or differing signals."""
-    s = signals.select("signal_id", F.col("axis").alias("s_axis"), F.col("attribute").alias("s_attribute"))
+    """(case_id, signal_id, code): claims (case_id, project, axis, attribute, signal_id) on unknown or differing signals."""
+    s = signals.select("signal_id", *[F.col(c).alias("s_" + c) for c in ("project", "axis", "attribute")], F.lit(True).alias("known"))
     both = claims.join(s, "signal_id", "left")
-    differs = (F.col("axis") != F.col("s_axis")) | (F.col("attribute") != F.col("s_attribute"))
-    code = F.when(F.col("s_axis").isNull(), "UNKNOWN_CLAIM_SOURCE_SIGNAL").when(differs, "CLAIM_SOURCE_SIGNAL_MISMATCH")
+    same = F.lit(True)
+    for c in ("project", "axis", "attribute"):
+        same = same & F.col(c).eqNullSafe(F.col("s_" + c))
+    code = F.when(F.col("known").isNull(), "UNKNOWN_CLAIM_SOURCE_SIGNAL").when(~same, "CLAIM_SOURCE_SIGNAL_MISMATCH")
     return both.withColumn("code", code).where("code is not null").select("case_id", "signal_id", "code")
 
 
@@ -91,27 +94,75 @@ def rubric_atoms(evidence: DataFrame) -> DataFrame:
     return named.select("case_id", "atom_id", F.when(F.col("position") == 1, "conclusion").otherwise("support").alias("role"), F.when(F.col("position") == 1, 2.0).otherwise(1.0).alias("weight"), F.when(F.col("layer") == "L3", previous).alias("depends_on"))
 
 
-def evidence_view(evidence: DataFrame, baseline: str) -> DataFrame:
-    """The evidence (case_id, position, source_id, path) that a baseline may see."""
-    doc = F.lower("path").rlike(r"\.(md|rst|txt|adoc)$|(^|/)docs?/")
-    if baseline == "top_1":
-        return evidence.where("position = 1")
-    if baseline == "doc_only":
-        return evidence.where(doc)
-    if baseline == "code_only":
-        return evidence.where(~doc)
-    if baseline == "single_source":
+#: Attributes and the baselines that must fail for them (fixed values).
+ATTRIBUTE_BASELINES = {
+    "long_tail": ["closed_book_llm"], "distracting_info": ["top_1_dense_only"], "version_fork": ["single_source_set_retrieval"], "non_code_anchor": ["code_only_retrieval"],
+    "false_premise": ["closed_book_llm", "oracle_evidence_llm"], "doc_code_divergence": ["doc_only_retrieval"], "conditional_behavior": ["top_1_dense_only"],
+    "negative_evidence": ["closed_book_llm"], "implicit_domain_knowledge": ["oracle_evidence_no_reasoning_llm"], "quantitative_aggregation": ["top_1_dense_only"],
+}
+#: What tells documents from code in a path, and refusals (fixed values).
+DOC_ENDINGS = (".rst", ".md", ".txt")
+NOT_CODE = ("doc/", ".rst", ".md", ".txt", "Makefile", "/ci/", "/.github/")
+REFUSALS = ("refuse", "无法判断", "无法确认", "no evidence", "Cannot ", "cannot confirm", "只能给出有限结论")
+
+
+def evidence_view(evidence: DataFrame, baseline: str, candidates: DataFrame | None = None) -> DataFrame:
+    """The evidence (case_id, position, source_id, path, lines) that a baseline may see: nothing, the first candidate (or the
+    first evidence of a case without any), what looks like documents or like code, one source, or all."""
+    path = F.coalesce("path", F.lit(""))
+    if baseline == "closed_book_llm":
+        return evidence.limit(0)
+    if baseline == "top_1_dense_only":
+        first = evidence.where("position = 1")
+        if candidates is None:
+            return first
+        head = candidates.where("position = 1").select(*[c for c in evidence.columns])
+        return head.unionByName(first.join(head.select("case_id"), "case_id", "left_anti"))
+    if baseline == "doc_only_retrieval":
+        wanted = path.contains("doc")
+        for e in DOC_ENDINGS:
+            wanted = wanted | path.endswith(e)
+        return evidence.where(wanted)
+    if baseline == "code_only_retrieval":
+        other = F.lit(False)
+        for part in NOT_CODE:
+            other = other | path.contains(part)
+        return evidence.where(~other)
+    if baseline == "single_source_set_retrieval":
         first = evidence.groupBy("case_id").agg(F.min_by("source_id", "position").alias("source_id"))
-        return evidence.join(first, ["case_id", "source_id"], "left_semi")
-    raise ValueError(f"unknown baseline {baseline}")
+        return evidence.join(first, ["case_id", "source_id"], "left_semi").select(evidence.columns)
+    return evidence
 
 
-def outcome(answer: Column, gold: Column, negative: Column) -> Column:
-    """inconclusive without an answer; on negative evidence a refusal succeeds; else distinctive tokens decide."""
-    low = F.lower(answer)
-    refuses = low.contains("cannot be determined") | low.contains("not enough evidence") | low.contains("insufficient evidence")
-    shared = F.size(F.array_intersect(S.significant_tokens(answer), S.significant_tokens(gold))) > 0
-    return F.when(F.coalesce(F.length(F.trim(answer)), F.lit(0)) == 0, "inconclusive").when(negative, F.when(refuses, "succeeded").otherwise("failed")).when(refuses, "failed").when(shared, "succeeded").otherwise("failed")
+def baseline_plan(cases: DataFrame) -> DataFrame:
+    """(case_id, attribute, baseline) to run for cases (case_id, attributes); unknown attributes have none."""
+    table = F.create_map(*[x for a, b in ATTRIBUTE_BASELINES.items() for x in (F.lit(a), F.array(*map(F.lit, b)))])
+    each = cases.select("case_id", F.explode("attributes").alias("attribute"))
+    return each.select("case_id", "attribute", F.explode(F.try_element_at(table, F.col("attribute"))).alias("baseline"))
+
+
+def refuses(text: Column) -> Column:
+    out, low = F.lit(False), F.lower(text)
+    for token in REFUSALS:
+        out = out | low.contains(token.lower())
+    return out
+
+
+def outcome(answer: Column, query: Column, gold: Column, attribute: Column | None = None) -> Column:
+    """inconclusive without an answer; on negative evidence a refusal fails the baseline and any other answer succeeds; else
+    a refusal fails it, a token of the gold answer that the query lacks succeeds, and all the rest is inconclusive."""
+    own = F.array_except(S.answer_tokens(gold), S.answer_tokens(query))
+    shared = F.size(F.array_intersect(own, S.answer_tokens(answer))) > 0
+    negative = F.coalesce(attribute == "negative_evidence", F.lit(False)) if attribute is not None else F.lit(False)
+    empty = F.trim(F.regexp_replace(F.coalesce(answer, F.lit("")), r"\s+", " ")) == ""
+    return F.when(empty, "inconclusive").when(refuses(answer), "baseline_failed").when(negative | shared, "baseline_succeeded").otherwise("inconclusive")
+
+
+def dry_run_gate(claims: DataFrame, judge: str = "none") -> DataFrame:
+    """(case_id, attribute, baseline, status, cache_key) for claims (case_id, attribute): what a run without a judge records."""
+    table = F.create_map(*[x for a, b in ATTRIBUTE_BASELINES.items() for x in (F.lit(a), F.lit(b[0]))])
+    baseline = F.coalesce(F.try_element_at(table, F.col("attribute")), F.lit("closed_book_llm"))
+    return claims.select("case_id", "attribute", baseline.alias("baseline"), F.lit("skipped_no_provider").alias("status"), F.concat_ws(":", F.col("case_id").cast("string"), "attribute", baseline, F.lit(judge), F.lit("dry-run-v1")).alias("cache_key"))
 
 
 def reattach(kept_edges: DataFrame, old_nodes: DataFrame, new_nodes: DataFrame) -> DataFrame:

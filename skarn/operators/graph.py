@@ -13,16 +13,19 @@ from pyspark.sql import functions as F
 
 #: Edge kinds that make a caller (fixed values).
 CALL_KINDS = ("calls", "references", "imports", "instantiates")
-CONTAINERS = ("class", "interface", "struct", "trait", "protocol", "module", "enum", "namespace")
+CONTAINERS = ("class", "interface", "struct", "trait", "protocol", "module", "enum")
 DEAD_KINDS = ("function", "method", "class")
-RANK_KINDS = ("calls", "references", "imports", "instantiates", "contains", "extends", "implements", "overrides", "decorates")
+RANK_KINDS = ("calls", "references", "extends", "implements", "overrides", "instantiates", "returns", "type_of", "imports")
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in spark.checkpoint.dir, or in a temporary folder where that is unset."""
+    """Reliable checkpoint in spark.checkpoint.dir; in local mode, where that is unset, in a temporary folder."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="skarn-"))
+        shared = sc.getConf().get("spark.checkpoint.dir")
+        if not shared and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(shared or "file://" + tempfile.mkdtemp(prefix="skarn-"))
     return df.checkpoint(eager=True)
 
 
@@ -75,25 +78,29 @@ def call_graph(edges: DataFrame, start: DataFrame, depth: int = 2) -> DataFrame:
 
 
 def impact(nodes: DataFrame, edges: DataFrame, start: DataFrame, depth: int = 3) -> DataFrame:
-    """(id, depth): what depends on the start nodes. A container's members share its depth; containment is no dependency."""
+    """(id, depth): what depends on the start nodes. A container's members share its depth, unless it is reached at the last
+    depth; containment is no dependency. With a column ``root`` in ``start``, (root, id, depth) for each root by itself."""
+    key = [c for c in ("root", "id") if c in start.columns]
+    root = key[:-1]
     containers = nodes.where(F.col("kind").isin(*CONTAINERS)).select("id")
-    inside = edges.where("kind = 'contains'")
-    depends = edges.where("kind <> 'contains'")
+    inside = kept(edges.where("kind = 'contains'").join(containers.withColumnRenamed("id", "source"), "source", "left_semi").select("source", "target"))
+    depends = kept(edges.where("kind <> 'contains'").select("source", "target"))
 
     def members(x: DataFrame) -> DataFrame:
         own = x
         while True:
-            inner = own.join(containers, "id", "left_semi").join(inside, F.col("id") == F.col("source")).select(F.col("target").alias("id")).distinct()
-            new = kept(inner.join(x, "id", "left_anti"))
+            inner = own.join(inside, F.col("id") == F.col("source")).select(*root, F.col("target").alias("id")).distinct()
+            new = kept(inner.join(x, key, "left_anti"))
             if new.isEmpty():
                 return x
             own, x = new, kept(x.unionByName(new))
 
-    seen = members(kept(start.select("id").distinct())).withColumn("depth", F.lit(0))
+    first = kept(start.select(*key).distinct())
+    seen = (members(first) if depth else first).withColumn("depth", F.lit(0))
     frontier = seen
     for d in range(1, depth + 1):
-        new = frontier.join(depends, F.col("id") == F.col("target")).select(F.col("source").alias("id")).distinct()
-        new = members(kept(new)).join(seen, "id", "left_anti").withColumn("depth", F.lit(d))
+        new = kept(frontier.join(depends, F.col("id") == F.col("target")).select(*root, F.col("source").alias("id")).distinct().join(seen, key, "left_anti"))
+        new = (members(new) if d < depth else new).join(seen, key, "left_anti").select(*key).withColumn("depth", F.lit(d))
         frontier = kept(new)
         if frontier.isEmpty():
             break
@@ -101,34 +108,60 @@ def impact(nodes: DataFrame, edges: DataFrame, start: DataFrame, depth: int = 3)
     return seen
 
 
-def shortest_path(edges: DataFrame, source: str, target: str, kinds: tuple | None = None, most: int = 64) -> DataFrame:
+def definitions_impact(nodes: DataFrame, edges: DataFrame, name: str, depth: int = 2) -> DataFrame:
+    """(root, id, depth) for every definition ``root`` of a name, whatever its case."""
+    own = nodes.where((F.lower("name") == name.lower()) & ~F.col("kind").isin("import", "file")).select("id", F.col("id").alias("root"))
+    return impact(nodes, edges, own, depth)
+
+
+def node_context(nodes: DataFrame, edges: DataFrame, start: DataFrame) -> DataFrame:
+    """(id, role, other, kind): ancestors, children, incoming and outgoing references, types and imports of nodes."""
+    types, refs = ("type_of", "returns"), F.col("kind") != "contains"
+    out, back = neighbours(edges, start, "out"), neighbours(edges, start, "in")
+    rows = [
+        ancestors(edges, start).select("id", F.lit("ancestor").alias("role"), F.col("ancestor").alias("other"), F.lit("contains").alias("kind")),
+        out.where("kind = 'contains'").select("id", F.lit("child").alias("role"), "other", "kind"),
+        back.where(refs).select("id", F.lit("incoming").alias("role"), "other", "kind"),
+        out.where(refs).select("id", F.lit("outgoing").alias("role"), "other", "kind"),
+        out.where(F.col("kind").isin(*types)).select("id", F.lit("type").alias("role"), "other", "kind"),
+        out.where("kind = 'imports'").select("id", F.lit("import").alias("role"), "other", "kind"),
+    ]
+    all_rows = rows[0]
+    for r in rows[1:]:
+        all_rows = all_rows.unionByName(r)
+    return all_rows
+
+
+def shortest_path(edges: DataFrame, source: str, target: str, kinds: tuple | None = None) -> DataFrame:
     """(position, id) of one shortest path, of these the smallest by its ids; empty if there is none."""
     spark = edges.sparkSession
     start = spark.createDataFrame([(source,)], "id string")
     if source == target:
         return start.select(F.lit(0).alias("position"), "id")
-    step = directed(edges, "out", kinds).select("at", "to").distinct()
+    step = kept(directed(edges, "out", kinds).select("at", "to").distinct())
     frontier = kept(start.withColumn("path", F.array("id")))
     seen = frontier.select("id")
-    for _ in range(most):
+    while True:
         paths = frontier.join(step, frontier["id"] == step["at"]).select(F.col("to").alias("id"), F.concat("path", F.array("to")).alias("path")).join(seen, "id", "left_anti")
         frontier = kept(paths.groupBy("id").agg(F.min("path").alias("path")))
         if frontier.isEmpty():
-            break
+            return spark.createDataFrame([], "position int, id string")
         hit = frontier.where(F.col("id") == target)
         if not hit.isEmpty():
             return hit.select(F.posexplode("path").alias("position", "id"))
         seen = seen.unionByName(frontier.select("id"))
-    return spark.createDataFrame([], "position int, id string")
 
 
-def ancestors(edges: DataFrame, start: DataFrame, most: int = 64) -> DataFrame:
-    """(id, ancestor, level) along each node's first containing edge."""
-    parent = edges.where("kind = 'contains'").groupBy(F.col("target").alias("child")).agg(F.min("source").alias("parent"))
+def ancestors(edges: DataFrame, start: DataFrame) -> DataFrame:
+    """(id, ancestor, level) along each node's first containing edge: by ``id`` of the edges if they have one, else by the
+    smallest container."""
+    holds = edges.where("kind = 'contains'").groupBy(F.col("target").alias("child"))
+    parent = kept(holds.agg((F.min_by("source", "id") if "id" in edges.columns else F.min("source")).alias("parent")))
     frontier = kept(start.select("id", F.col("id").alias("ancestor")))
-    out = None
-    for level in range(1, most + 1):
-        up = frontier.join(parent, frontier["ancestor"] == parent["child"]).select("id", F.col("parent").alias("ancestor"))
+    out, level = None, 0
+    while True:
+        level += 1
+        up = frontier.join(parent, frontier["ancestor"] == parent["child"]).select("id", F.col("parent").alias("ancestor")).where("id <> ancestor")
         if out is not None:  # a cycle of containment ends where it meets itself
             up = up.join(out.select("id", "ancestor"), ["id", "ancestor"], "left_anti")
         frontier = kept(up)
@@ -178,45 +211,97 @@ def file_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def dominant_files(nodes: DataFrame, edges: DataFrame, low_value: Column, top: int = 20, least: int = 20) -> DataFrame:
-    """(rank, file_path, n): of the ``top`` files by edges within the file, the best two that are no tests or generated."""
+    """(rank, file_path, n): of the ``top`` files by edges within the file, the best two that are no tests or generated; empty
+    unless the first has ``least`` edges."""
     at = nodes.select("id", "file_path")
     a, b = at.withColumnsRenamed({"id": "source", "file_path": "file_a"}), at.withColumnsRenamed({"id": "target", "file_path": "file_b"})
     inside = edges.join(a, "source").join(b, "target").where("file_a = file_b").groupBy(F.col("file_a").alias("file_path")).agg(F.count(F.lit(1)).alias("n"))
-    best = inside.orderBy(F.desc("n"), "file_path").limit(top).where(~low_value & (F.col("n") >= least))
-    return best.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "file_path"))).where("rank <= 2").select("rank", "file_path", "n")
+    by = Window.orderBy(F.desc("n"), "file_path")  # over ``top`` rows
+    best = inside.orderBy(F.desc("n"), "file_path").limit(top).where(~low_value).withColumns({"rank": F.row_number().over(by), "most": F.max("n").over(Window.partitionBy())})
+    return best.where((F.col("rank") <= 2) & (F.col("most") >= least)).select("rank", "file_path", "n")
+
+
+def top_route_file(nodes: DataFrame, low_value: Column, top: int = 20) -> DataFrame:
+    """(file_path, n, total): the file with most routes among the ``top`` files that are no tests or generated, if it has 3
+    and at least 30 of 100 of theirs."""
+    counted = nodes.where("kind = 'route'").groupBy("file_path").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "file_path").limit(top).where(~low_value)
+    first = counted.withColumn("total", F.sum("n").over(Window.partitionBy())).orderBy(F.desc("n"), "file_path").limit(1)
+    return first.where("n >= 3 and total >= 3 and n / total >= 0.30")
+
+
+def routing_manifest(nodes: DataFrame, edges: DataFrame, low_value: Column, limit: int = 40) -> DataFrame:
+    """(url, handler, handler_file, handler_line, handler_kind): what handles the first ``limit`` routes, tests and generated
+    files left out after the limit."""
+    r = nodes.where("kind = 'route'").select(F.col("id").alias("source"), F.col("name").alias("url"), F.col("file_path").alias("r_file"), F.col("start_line").alias("r_line"))
+    h = nodes.where(F.col("kind").isin(*DEAD_KINDS)).select(F.col("id").alias("target"), F.col("name").alias("handler"), F.col("file_path").alias("handler_file"), F.col("start_line").alias("handler_line"), F.col("kind").alias("handler_kind"))
+    both = edges.where("kind in ('references', 'calls')").select("source", "target").join(r, "source").join(h, "target")
+    first = both.orderBy("r_file", "r_line", "source", "target").limit(limit).withColumnRenamed("handler_file", "file_path").where(~low_value)
+    return first.select("url", "handler", F.col("file_path").alias("handler_file"), "handler_line", "handler_kind")
+
+
+def _trimmed(own: DataFrame) -> DataFrame:
+    """Edges between nodes that have both a predecessor and a successor."""
+    n = own.count()
+    while True:
+        ends = own.select(F.col("source").alias("x")).distinct().join(own.select(F.col("target").alias("x")).distinct(), "x", "left_semi")
+        less = kept(own.join(ends.withColumnRenamed("x", "source"), "source", "left_semi").join(ends.withColumnRenamed("x", "target"), "target", "left_semi").select("source", "target"))
+        m = less.count()
+        if m == n:
+            return less
+        own, n = less, m
 
 
 def cycles(deps: DataFrame) -> DataFrame:
     """(id, component): members of strongly connected components of two or more, named by the smallest member.
 
-    Repeatedly drops nodes without a predecessor or successor inside, then pairs what reaches each other both ways.
+    By colouring: nodes without a predecessor or successor go; every node takes the smallest id that reaches it; what has
+    a colour and reaches the node of that name is its component and goes. Work is edges times rounds, not pairs of nodes.
     """
-    own = kept(deps.select("source", "target").where("source <> target").distinct())
+    own, out = kept(deps.select("source", "target").where("source <> target").distinct()), None
     while True:
-        trimmed = own.join(own.select(F.col("source").alias("s")).distinct(), F.col("target") == F.col("s"), "left_semi").join(own.select(F.col("target").alias("t")).distinct(), F.col("source") == F.col("t"), "left_semi")
-        trimmed = kept(trimmed)
-        if trimmed.count() == own.count():
-            break
-        own = trimmed
-    pairs = own
-    while True:  # transitive closure of the core
-        longer = pairs.join(own.select(F.col("source").alias("target"), F.col("target").alias("next")), "target").select("source", F.col("next").alias("target"))
-        grown = kept(pairs.unionByName(longer).distinct())
-        if grown.count() == pairs.count():
+        own = _trimmed(own)
+        if own.isEmpty():
             break
-        pairs = grown
-    both = pairs.join(pairs.select(F.col("target").alias("source"), F.col("source").alias("target")), ["source", "target"], "left_semi")
-    return both.groupBy(F.col("source").alias("id")).agg(F.least(F.min("target"), F.col("source")).alias("component")).where(F.col("component").isNotNull())
+        colour = kept(own.select(F.col("source").alias("id")).distinct().withColumn("colour", F.col("id")))
+        while True:  # the smallest id that reaches a node
+            heard = own.join(colour, own["source"] == colour["id"]).select(F.col("target").alias("id"), "colour")
+            now = colour.unionByName(heard).groupBy("id").agg(F.min("colour").alias("colour"))
+            now = kept(now.join(colour.withColumnRenamed("colour", "old"), "id"))
+            colour = now.select("id", "colour")
+            if now.where("colour <> old").isEmpty():
+                break
+        a, b = (colour.select(F.col("id").alias(x), F.col("colour").alias(x + "_colour")) for x in ("source", "target"))
+        same = kept(own.join(a, "source").join(b, "target").where("source_colour = target_colour").select("source", "target"))
+        found = kept(colour.where("id = colour"))
+        frontier = found
+        while True:  # back from each root within its colour
+            back = same.join(frontier, same["target"] == frontier["id"]).select(F.col("source").alias("id"), "colour").distinct()
+            frontier = kept(back.join(found, "id", "left_anti"))
+            if frontier.isEmpty():
+                break
+            found = kept(found.unionByName(frontier))
+        out = found if out is None else out.unionByName(found)
+        gone = found.select("id")
+        own = kept(own.join(gone, own["source"] == gone["id"], "left_anti").join(gone, F.col("target") == gone["id"], "left_anti"))
+    if out is None:
+        return deps.select(F.col("source").alias("id"), F.col("source").alias("component")).limit(0)
+    large = out.groupBy("colour").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("colour")
+    return out.join(large, "colour").select("id", F.col("colour").alias("component"))
 
 
 def pagerank(nodes: DataFrame, edges: DataFrame, seeds: DataFrame | None = None, restart: float = 0.25, rounds: int = 25, kinds: tuple = RANK_KINDS, every: int = 5) -> DataFrame:
-    """(id, rank): personalised over the undirected multigraph; isolated nodes keep their mass, no seeds restart anywhere."""
-    both = directed(edges, "both", kinds).select("at", "to")
+    """(id, rank): personalised over the undirected multigraph of the given nodes, loops aside; isolated nodes keep their
+    mass; the restart goes to the seeds among the nodes, or to all nodes if there are none."""
+    n = nodes.select("id")
+    own = edges.where("source <> target").join(n.withColumnRenamed("id", "source"), "source", "left_semi").join(n.withColumnRenamed("id", "target"), "target", "left_semi")
+    both = directed(own.select("source", "target", "kind"), "both", kinds).select("at", "to")
     degree = both.groupBy(F.col("at").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
-    if seeds is None:
-        seeds = nodes.select("id")
-    n = seeds.select("id").distinct().count()
-    base = kept(nodes.select("id").join(seeds.select("id").distinct().withColumn("seed", F.lit(1.0 / max(n, 1))), "id", "left").na.fill(0.0, ["seed"]).join(degree, "id", "left").na.fill(0, ["degree"]))
+    if seeds is not None:
+        seeds = kept(seeds.select("id").distinct().join(n, "id", "left_semi"))
+    if seeds is None or seeds.isEmpty():
+        seeds = n.distinct()
+    share = 1.0 / max(seeds.count(), 1)
+    base = kept(n.join(seeds.withColumn("seed", F.lit(share)), "id", "left").na.fill(0.0, ["seed"]).join(degree, "id", "left").na.fill(0, ["degree"]))
     steps = kept(both.groupBy("at", "to").agg(F.count(F.lit(1)).alias("w")).join(degree, F.col("at") == F.col("id")).select("at", "to", (F.col("w") / F.col("degree")).alias("share")))
     rank = base.select("id", F.col("seed").alias("rank"))
     for k in range(rounds):

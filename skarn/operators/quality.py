@@ -47,34 +47,6 @@ def source_rules(sources: DataFrame, languages: list[str]) -> DataFrame:
     )
 
 
-def gate_codes(rows: DataFrame) -> DataFrame:
-    """(case_id, codes): structural reasons against a row, in a fixed order.
-
-    ``rows``: case_id, layer, axis1_layer, attributes array, claim_sources map, evidence_sources array, depends_on (has a chain),
-    answer_type, answerability, n_forbidden, evidence_roles array.
-    """
-    attrs, layer = F.col("attributes"), F.col("layer")
-    declared = F.size(F.array_distinct(F.concat(attrs, F.when(layer == "L3", F.array(F.lit("L3"))).otherwise(F.array().cast("array<string>")))))
-    claims = lambda a: F.try_element_at(F.col("claim_sources"), a)
-    unsupported = F.exists(attrs, lambda a: F.coalesce(F.size(claims(a)), F.lit(0)) < 1)
-    distinct_sources = F.size(F.array_distinct("evidence_sources"))
-    needs_forbidden = F.col("answer_type").isin("yes_no", "fact_check") | (F.col("answerability") == "unanswerable_false_premise")
-    guards = F.array(*[F.lit(x) for x in ("trigger_condition", "branch", "guard", "predicate", "state")])
-    rules = [
-        ("DIFFICULTY_LAYER_MISMATCH", F.col("axis1_layer") != layer),
-        ("MISSING_CLAIM_SOURCES", F.col("claim_sources").isNull()),
-        ("MISSING_CLAIM_SOURCE_ATTRIBUTE", F.col("claim_sources").isNotNull() & unsupported),
-        ("INSUFFICIENT_DIFFICULTY_SIGNALS", declared < 2),
-        ("L2_SINGLE_SOURCE", (layer == "L2") & (distinct_sources < 2)),
-        ("L3_SINGLE_SOURCE", (layer == "L3") & (distinct_sources < 2)),
-        ("L3_NO_ATOM_CHAIN", (layer == "L3") & ~F.col("depends_on")),
-        ("CONDITIONAL_BEHAVIOR_WITHOUT_ROLE", F.array_contains(attrs, "conditional_behavior") & ~F.arrays_overlap("evidence_roles", guards)),
-        ("FORBIDDEN_ATOMS_REQUIRED", needs_forbidden & (F.col("n_forbidden") == 0)),
-    ]
-    codes = F.filter(F.array(*[F.when(F.coalesce(broken, F.lit(False)), F.lit(code)) for code, broken in rules]), lambda c: c.isNotNull())
-    return rows.select("case_id", F.array_join(codes, ",").alias("codes"), F.size(codes).alias("n_codes"))
-
-
 def reuse(evidence: DataFrame, most: int = 3) -> DataFrame:
     """(path, lines, n, first_case): places cited by more rows than ``most``, with the first."""
     return evidence.groupBy("path", "lines").agg(F.count(F.lit(1)).alias("n"), F.min("case_id").alias("first_case")).where(F.col("n") > most)
