@@ -280,7 +280,7 @@ def word_counts(docs: DataFrame, text: str, known: np.ndarray) -> DataFrame:
                     seen[h] = n
                     if n > 1 and h not in repeated:
                         repeated[h] = raw[a:z]
-                if len(seen) > REMEMBERED:
+                if len(seen) > REMEMBERED // 2:  # with their bytes and counts
                     yield from rows()
                     seen, repeated = {}, {}
         yield from rows()
