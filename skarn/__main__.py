@@ -18,9 +18,9 @@ def main(argv: list[str] | None = None) -> int:
 
     from pyspark.sql import SparkSession
 
-    from .api import CodeGraph
+    from .api import SymbolGraph
 
-    own = CodeGraph.over(SparkSession.builder.getOrCreate(), args.folder)
+    own = SymbolGraph.over(SparkSession.builder.getOrCreate(), args.folder)
     if args.command == "query":
         out = own.search(" ".join(args.names), args.limit)
     else:

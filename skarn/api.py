@@ -13,14 +13,14 @@ from .plans import adapters
 
 
 @dataclass
-class CodeGraph:
+class SymbolGraph:
     """``nodes`` (id, kind, name, qualified_name, file_path, language, start_line, is_exported) and ``edges`` (source, target, kind)."""
 
     nodes: DataFrame
     edges: DataFrame
 
     @classmethod
-    def over(cls, spark: SparkSession, folder: str) -> CodeGraph:
+    def over(cls, spark: SparkSession, folder: str) -> SymbolGraph:
         """The graph of the test tables in a folder, or of its nodes.parquet and edges.parquet."""
         from .sources.bundle import exists
 

@@ -181,9 +181,9 @@ def test_numbered_json_lines(spark, tmp_path):
 
 def test_api_and_command(spark, capsys):
     from skarn.__main__ import main
-    from skarn.api import CodeGraph
+    from skarn.api import SymbolGraph
 
-    own = CodeGraph.over(spark, "/root/testdata/sf0.001")
+    own = SymbolGraph.over(spark, "/root/testdata/sf0.001")
     assert own.node("class:3").count() == 1 and own.callers("function:7").count() > 0 and own.children("module:3").count() > 0
     nodes, edges = own.explore("red widget", most=10)
     assert 0 < nodes.count() <= 20
