@@ -1,7 +1,7 @@
 """Vectorised work on the UTF-8 bytes of Arrow string columns: spans, hashes, shingles.
 
-All functions see one flat byte array for many documents. A span never crosses a document. Hashes are 64-bit
-polynomials of the bytes followed by a finaliser, so equal spans have equal hashes everywhere.
+All functions see one flat byte array for many documents. A span never crosses a document. Equal spans have equal
+hashes everywhere; different ones have the same 64-bit hash by chance alone, about once in 2**64 pairs.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ STEP_BYTES = 2 << 20
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_powers: dict[str, np.ndarray] = {}
+#: Masks of the first bytes of a block, by their number.
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 
 
 def table(*ranges: tuple[int, int]) -> np.ndarray:
@@ -45,17 +46,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of BASE and of its inverse modulo 2**64, at least ``n + 1`` of each."""
-    if len(_powers.get("up", ())) < n + 1:
-        size = max(1 << 16, 1 << n.bit_length())
-        for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
-            factors = np.full(size, base, dtype=np.uint64)
-            factors[0] = 1
-            _powers[name] = np.cumprod(factors, dtype=np.uint64)
-    return _powers["up"], _powers["down"]
-
-
 def steps(batch: pa.RecordBatch, column: str, step_bytes: int = STEP_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of a batch of about ``step_bytes`` of text, each with its flat bytes and document offsets; null is empty."""
     if not batch.num_rows:
@@ -95,10 +85,27 @@ def spans(flat: np.ndarray, offsets: np.ndarray, inside: np.ndarray, cut: np.nda
 
 
 def span_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    up, down = powers(len(flat))
-    total = np.zeros(len(flat) + 1, dtype=np.uint64)
-    np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * up[: len(flat)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts])
+    """Hash of each span that isn't empty: the sum of its 8-byte blocks, each mixed with its number, and its length.
+
+    No polynomial of the bytes: those modulo 2**64 give equal values to some words whatever their base."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    size = ends - starts
+    count = (size + 7) >> 3
+    first = np.cumsum(count) - count
+    padded = np.concatenate([flat, np.zeros(8, np.uint8)])
+    blocks = np.ndarray((len(flat) + 1,), dtype="<u8", buffer=padded.data, strides=(1,))
+    if int(first[-1]) + int(count[-1]) == len(count):  # no span is longer than a block
+        number, at, left = np.zeros(len(count), np.int64), starts, size
+    else:
+        number = np.arange(int(first[-1] + count[-1])) - np.repeat(first, count)
+        at = np.repeat(starts, count) + 8 * number
+        left = np.repeat(size, count) - 8 * number
+    value = blocks[at] & _LOW_BYTES[np.minimum(left, 8)]
+    value = mix(mix(value + np.uint64(BASE)) ^ mix((number.astype(np.uint64) + np.uint64(1)) * MIX_B))
+    if len(value) > len(count):
+        value = np.add.reduceat(value, first)
+    return mix(value + size.astype(np.uint64) * np.uint64(BASE))
 
 
 def shingle_hashes(words: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
