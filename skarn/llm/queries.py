@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, line_dedup, media_boxes, parity_join, perspectives, secret_markov, token_files, toxicity, url_intervals, wu_manber
+from . import byte_bpe, line_dedup, media_boxes, parity_join, perspectives, secret_markov, source_mix, token_files, toxicity, url_intervals, wu_manber
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,9 +83,13 @@ def op10_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wu_manber.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_toxicity": op1_toxicity, "op2_byte_bpe": op2_byte_bpe, "op3_parity_join": op3_parity_join, "op4_line_dedup": op4_line_dedup, "op5_secret_markov": op5_secret_markov, "op6_token_files": op6_token_files, "op7_perspectives": op7_perspectives, "op8_url_intervals": op8_url_intervals, "op9_media_boxes": op9_media_boxes, "op10_wu_manber": op10_wu_manber}
+    return {"op1_toxicity": op1_toxicity, "op2_byte_bpe": op2_byte_bpe, "op3_parity_join": op3_parity_join, "op4_line_dedup": op4_line_dedup, "op5_secret_markov": op5_secret_markov, "op6_token_files": op6_token_files, "op7_perspectives": op7_perspectives, "op8_url_intervals": op8_url_intervals, "op9_media_boxes": op9_media_boxes, "op10_wu_manber": op10_wu_manber, "op13_source_mix": op13_source_mix}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_perspectives": perspectives.SQL, "op8_url_intervals": url_intervals.SQL}
+    return {"op7_perspectives": perspectives.SQL, "op8_url_intervals": url_intervals.SQL, "op13_source_mix": source_mix.SQL}

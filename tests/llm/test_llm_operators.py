@@ -9,7 +9,7 @@ import public_tokenizers as P
 import pytest
 import regex
 
-from skarn.llm import _graph, _text, byte_bpe, line_dedup, media_boxes, parity_join, perspectives, secret_markov, token_files, toxicity, url_intervals, wu_manber
+from skarn.llm import _graph, _text, byte_bpe, line_dedup, media_boxes, parity_join, perspectives, secret_markov, source_mix, token_files, toxicity, url_intervals, wu_manber
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
 HARD = [None, "", " \n\t ", "one", "a b c d", "Ünïcode ÄÖ… 漢字 123", "x" * 30_000, "'s don't  we'll\n\n!!", "<|endoftext|>", "  a"]
@@ -46,6 +46,62 @@ def test_spans_and_hashes():
     assert h[0] == h[2] != h[1]
 
 
+def thue_morse(n):
+    """A word of letters a and b, and its complement; polynomials modulo 2**64 take long ones for equal."""
+    own = "a"
+    while len(own) < n:
+        own += own.translate({97: "b", 98: "a"})
+    return own, own.translate({97: "b", 98: "a"})
+
+
+def test_hashes_of_every_length():
+    r = random.Random(9)
+    words = [w.encode() for n in (1024, 4096) for w in thue_morse(n)] + [r.randbytes(n) for n in range(1, 70)] + [b"\0" * n for n in range(1, 40)]
+    flat, ends = np.frombuffer(b"".join(words), np.uint8), np.concatenate([[0], np.cumsum([len(w) for w in words])])
+    together = _text.span_hashes(flat, ends[:-1], ends[1:])
+    assert len(set(together.tolist())) == len(set(words))
+    for w, h in zip(words, together):
+        assert _text.span_hashes(np.frombuffer(b"xyz" + w + b"u", np.uint8), np.array([3]), np.array([3 + len(w)]))[0] == h
+
+
+def test_words_that_polynomials_confuse(spark):
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    texts = [w for n in (1024, 4096) for w in thue_morse(n)]
+    texts += [f"{a} {b}" for a in texts for b in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=byte_bpe.load_ranks(path), special_tokens={})
+    for r in byte_bpe.tokens(docs, path, hot=100, with_ids=True, with_text=True).collect():
+        assert r["ids"] == library.encode_ordinary(texts[r["doc_id"]]) and bytes(r["decoded"]).decode() == texts[r["doc_id"]]
+    path = P.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    where, parts = token_files.write(docs, path, end_id=1)
+    for r in token_files.read(spark, where, parts, with_ids=True).collect():
+        assert r["ids"] == [*library.encode(texts[r["doc_id"]], add_special_tokens=False).ids, 1]
+    assert {tuple(r) for r in parity_join.join(docs).collect()} == set(parity_join.brute_force(list(enumerate(texts))))
+    items = list(enumerate(texts[:4]))
+    got = sorted(tuple(r) for r in wu_manber.decontaminate(docs, spark.createDataFrame(items, "item_id bigint, text string")).collect())
+    assert got == sorted(wu_manber.brute_force(list(enumerate(texts)), items))
+
+
+def test_source_mix(spark):
+    r = random.Random(3)
+    for k in range(3):
+        names = ["a", "b", "é", None, "c", "d", *[f"s{i}" for i in range(20 * k)]]
+        rows = [(r.choice([None, i, i % 7]), r.choice(names), r.choice([None, "", " ".join(["w"] * r.randrange(60 if k else 2)), "\t\nlong " * 40])) for i in range(300)] + [(5, "a", "the same row")] * 90
+        docs = spark.createDataFrame([(*x, 1, "k", 3) for x in rows], "doc_id bigint, source string, text string, size int, name string, taken int")
+        found = source_mix.mix(docs, range_rows=20)
+        rounded = lambda x: (*x[:3], round(x[3], 6), x[4])
+        assert sorted((rounded(tuple(x)) for x in found.drop("source").collect()), key=str) == sorted(map(rounded, source_mix.brute_force(rows)), key=str)
+        times = {(x["source"], x["n"]) for x in source_mix.expanded(found).groupBy("source").agg({"words": "sum"}).toDF("source", "n").collect()}
+        assert times == {(x["source"], x["n"]) for x in found.where("taken > 0").groupBy("source").agg({"taken": "sum"}).toDF("source", "n").collect()}
+    assert source_mix.mix(docs.limit(0)).count() == 0
+    empty = spark.createDataFrame([(1, "a", None), (2, "a", "  ")], "doc_id bigint, source string, text string")
+    assert {(x["target"], x["taken"]) for x in source_mix.mix(empty).collect()} == {(0.0, 0)}
+
+
 def test_components(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (9, 8), (8, 7), (7, 6), (5, 5), (None, 1), (1, 2)], "a bigint, b bigint")
     got = {r["node"]: r["component"] for r in _graph.components(links).collect()}
