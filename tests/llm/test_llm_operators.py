@@ -9,7 +9,7 @@ import public_tokenizers as P
 import pytest
 import regex
 
-from skarn.llm import _graph, _text, byte_bpe, line_dedup, media_boxes, parity_join, perspectives, secret_markov, source_mix, token_files, toxicity, url_intervals, wu_manber
+from skarn.llm import _graph, _text, byte_bpe, line_dedup, media_boxes, parity_join, perspectives, secret_markov, source_mix, token_files, toxicity, url_intervals, vector_codes, wu_manber
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
 HARD = [None, "", " \n\t ", "one", "a b c d", "Ünïcode ÄÖ… 漢字 123", "x" * 30_000, "'s don't  we'll\n\n!!", "<|endoftext|>", "  a"]
@@ -102,6 +102,36 @@ def test_source_mix(spark):
     assert {(x["target"], x["taken"]) for x in source_mix.mix(empty).collect()} == {(0.0, 0)}
 
 
+def test_vector_codes(spark):
+    r = random.Random(3)
+    for n, width, entries in ((600, 32, 64), (500, 64, 5), (30, 16, 64)):
+        vector = lambda: [r.choice([0.0, 0.25, -0.5, r.gauss(0, 1)]) for _ in range(width)]
+        rows = [(r.choice([None, i, i % 7]), r.choice([None, vector(), vector(), [0.5] * width, [0.1] * (width - 1) + [float("nan")], [0.1] * (width - 1) + [None], [float("-inf")] * width]), r.choice([None, 1, 2])) for i in range(n)]
+        table = spark.createDataFrame([(*x, "x", 1) for x in rows], "vec_id bigint, embedding array<double>, label int, code string, error int")
+        want = sorted(vector_codes.brute_force(rows, entries=entries), key=str)
+        for chunk in (100, vector_codes.CHUNK):
+            assert sorted((tuple(x) for x in vector_codes.codes(table, entries=entries, chunk=chunk).collect()), key=str) == want
+    assert vector_codes.codes(table.limit(0)).count() == 0
+    ragged = spark.createDataFrame([(1, [1.0] * 20, 1), (2, [2.0] * 20, 1), (3, [1.0], 1), (4, [], 1)], "vec_id bigint, embedding array<double>, label int")
+    made, books = vector_codes.compress(ragged)
+    codes = {x["id"]: x["code"] for x in made.collect()}
+    assert set(codes) == {1, 2} and all(vector_codes.decode(codes[i], books).tolist() == [float(i)] * 20 + [0.0] * 12 for i in codes)
+
+
+def test_vector_trees():
+    """Walks find the nearest entries, the lowest of equals, and the sums of nodes are those of their points."""
+    rng = np.random.default_rng(5)
+    for n, w, k, top in ((1, 1, 1, 3), (40, 1, 7, 4), (3000, 4, 64, 300), (3000, 4, 64, 3), (2000, 8, 33, 40)):
+        points, book = rng.integers(-top, top, (n, w)), rng.integers(-top, top, (k, w))
+        tree = vector_codes.Tree.load(vector_codes.Tree.build(points).dump())
+        distance = ((points[:, None] - book[None]) ** 2).sum(axis=2)
+        want = distance.argmin(axis=1)
+        got, error = tree.codes(book)
+        assert (got == want).all() and (error == distance.min(axis=1)).all()
+        sums, counts = tree.totals(book)
+        assert (counts == np.bincount(want, minlength=k)).all() and all((sums[e] == points[want == e].sum(axis=0)).all() for e in range(k))
+
+
 def test_components(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (9, 8), (8, 7), (7, 6), (5, 5), (None, 1), (1, 2)], "a bigint, b bigint")
     got = {r["node"]: r["component"] for r in _graph.components(links).collect()}
