@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, line_dedup, media_boxes, parity_join, perspectives, secret_markov, source_mix, token_files, toxicity, url_intervals, vector_codes, wu_manber
+from . import byte_bpe, line_dedup, media_boxes, parity_join, perspectives, secret_markov, source_mix, token_files, toxicity, treap_search, url_intervals, vector_codes, wu_manber
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,13 +87,17 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.codes(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return treap_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_toxicity": op1_toxicity, "op2_byte_bpe": op2_byte_bpe, "op3_parity_join": op3_parity_join, "op4_line_dedup": op4_line_dedup, "op5_secret_markov": op5_secret_markov, "op6_token_files": op6_token_files, "op7_perspectives": op7_perspectives, "op8_url_intervals": op8_url_intervals, "op9_media_boxes": op9_media_boxes, "op10_wu_manber": op10_wu_manber, "op11_vector_codes": op11_vector_codes, "op13_source_mix": op13_source_mix}
+    return {"op1_toxicity": op1_toxicity, "op2_byte_bpe": op2_byte_bpe, "op3_parity_join": op3_parity_join, "op4_line_dedup": op4_line_dedup, "op5_secret_markov": op5_secret_markov, "op6_token_files": op6_token_files, "op7_perspectives": op7_perspectives, "op8_url_intervals": op8_url_intervals, "op9_media_boxes": op9_media_boxes, "op10_wu_manber": op10_wu_manber, "op11_vector_codes": op11_vector_codes, "op12_treap_search": op12_treap_search, "op13_source_mix": op13_source_mix}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_perspectives": perspectives.SQL, "op8_url_intervals": url_intervals.SQL, "op11_vector_codes": vector_codes.SQL, "op13_source_mix": source_mix.SQL}
+    return {"op7_perspectives": perspectives.SQL, "op8_url_intervals": url_intervals.SQL, "op11_vector_codes": vector_codes.SQL, "op12_treap_search": treap_search.SQL, "op13_source_mix": source_mix.SQL}

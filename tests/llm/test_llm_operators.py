@@ -9,7 +9,7 @@ import public_tokenizers as P
 import pytest
 import regex
 
-from skarn.llm import _graph, _text, byte_bpe, line_dedup, media_boxes, parity_join, perspectives, secret_markov, source_mix, token_files, toxicity, url_intervals, vector_codes, wu_manber
+from skarn.llm import _graph, _text, byte_bpe, line_dedup, media_boxes, parity_join, perspectives, secret_markov, source_mix, token_files, toxicity, treap_search, url_intervals, vector_codes, wu_manber
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
 HARD = [None, "", " \n\t ", "one", "a b c d", "Ünïcode ÄÖ… 漢字 123", "x" * 30_000, "'s don't  we'll\n\n!!", "<|endoftext|>", "  a"]
@@ -132,6 +132,47 @@ def test_vector_trees():
         assert (counts == np.bincount(want, minlength=k)).all() and all((sums[e] == points[want == e].sum(axis=0)).all() for e in range(k))
 
 
+def test_treap_search(spark, docs):
+    rows = pairs(docs) + [(None, "alpha beta gamma"), (7000, "alpha beta gamma"), (7001, "ALPHA beta gamma"), *((8000 + i, "eta theta copies") for i in range(80))]
+    frame = spark.createDataFrame([(i, t, "x", 1, 2) for i, t in rows], "doc_id bigint, text string, item_id string, rank int, score int")
+    items = [("a", rows[20][1]), ("b", "theta copies eta iota"), ("c", None), ("d", "nowhere"), ("e", "alpha"), ("e", "Beta gamma beta"), (None, "kappa 漢字"), ("f", " ")]
+    asked = spark.createDataFrame([(*x, 1) for x in items], "item_id string, text string, doc_id int")
+    want = sorted(treap_search.brute_force(rows, items), key=str)
+    assert {x[0] for x in want} == {"a", "b", "e", None}
+    for more in ({}, {"shard_postings": 60, "first": 3}, {"shard_postings": 200, "pass_bytes": 100}):
+        assert sorted((tuple(x) for x in treap_search.search(frame, asked, **more).collect()), key=str) == want
+    few = sorted(treap_search.brute_force(rows, items, k=3), key=str)
+    assert sorted((tuple(x) for x in treap_search.search(frame, asked, k=3, shard_postings=100).collect()), key=str) == few
+    assert treap_search.search(frame.limit(0), asked).count() == 0 and treap_search.search(frame, asked.limit(0)).count() == 0
+
+
+def test_treaps():
+    """Each term's nodes are in heap order by impact and in search order by document; walks find what a sum finds."""
+    rng = np.random.default_rng(2)
+    for top in (3, 1000):
+        lists = [np.sort(rng.choice(500, n, replace=False)) for n in (1, 2, 40, 300, 500)]
+        counts, doc = np.array([len(x) for x in lists]), np.concatenate(lists)
+        impact = rng.integers(1, top, len(doc))
+        t = treap_search.Treaps(np.array([0, 2, 3, 7, 9]), counts, doc, impact)
+
+        def inner(v):
+            if v < 0:
+                return []
+            assert all(t.impact[c] <= t.impact[v] for c in (t.left[v], t.right[v]) if c >= 0)
+            return [*inner(t.left[v]), int(t.doc[v]), *inner(t.right[v])]
+
+        assert [inner(v) for v in t.root] == [x.tolist() for x in lists]
+        for terms in ([9], [0, 2, 3, 7, 9], [1, 3, 9], [5]):
+            score = np.zeros(500, np.int64)
+            for k, x in enumerate((0, 2, 3, 7, 9)):
+                if x in terms:
+                    at = slice(counts[:k].sum(), counts[: k + 1].sum())
+                    score[doc[at]] += impact[at]
+            best = [d for d in np.lexsort((np.arange(500), -score)) if score[d] > 0][:20]
+            docs, scores = t.best(np.array(terms), 20, 1)
+            assert docs.tolist() == best and scores.tolist() == score[best].tolist()
+
+
 def test_components(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (9, 8), (8, 7), (7, 6), (5, 5), (None, 1), (1, 2)], "a bigint, b bigint")
     got = {r["node"]: r["component"] for r in _graph.components(links).collect()}
