@@ -12,7 +12,8 @@ The models are counted from labelled samples, (text, random) rows, with add-one
 counts of 65 x 65 transitions are all that reaches the driver. ``default_samples`` makes samples: digests in several
 alphabets as random strings, and names joined from programming words and plain numbers as ordinary ones.
 
-Positions count code points, ends are exclusive. A pattern's matches are found whole and then filtered, so that what a
+All work is near linear in a text: sums over its matches go by blocks, and what base spans leave is found in the text with
+blanks in their place. Positions count code points, ends are exclusive. A pattern's matches are found whole and then filtered, so that what a
 failing match covers is not searched again.
 
 Defined results: a null text is empty and has no spans. Repeated rows give repeated results. Extra columns are ignored.
@@ -39,6 +40,8 @@ LEAST_RATIO = 0.45
 LEAST_RUN = 16
 #: A fall from the peak, in nats, that ends a stretch.
 DROP = 8.0
+#: Stretches of a run that are moved on together.
+BLOCK = 256
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
 _SIZE = len(ALPHABET) + 1  # all other characters are one class
 
@@ -99,7 +102,8 @@ def stretches(run: Column, model: list[float], least: float) -> Column:
     table = F.array(*[F.lit(round(x, 6)) for x in model])
     kind = "array<struct<start:int,end:int>>"
     one = lambda start, end: F.array(F.struct(start.cast("int").alias("start"), end.cast("int").alias("end")))
-    start = F.struct(F.lit(-1).alias("last"), F.lit(0).alias("at"), F.lit(0.0).alias("total"), F.lit(0.0).alias("now"), F.lit(0.0).alias("peak"), F.lit(0).alias("start"), F.lit(0).alias("end"), F.array().cast(kind).alias("out"))
+    none = F.array().cast(kind)
+    start = F.struct(F.lit(-1).alias("last"), F.lit(0).alias("at"), F.lit(0.0).alias("total"), F.lit(0.0).alias("now"), F.lit(0.0).alias("peak"), F.lit(0).alias("start"), F.lit(0).alias("end"), none.alias("out"), F.array().cast(f"array<{kind}>").alias("outs"))
 
     def flushed(a: Column) -> Column:
         return F.when(a["end"] - a["start"] >= LEAST_RUN, F.concat(a["out"], one(a["start"], a["end"]))).otherwise(a["out"])
@@ -111,59 +115,110 @@ def stretches(run: Column, model: list[float], least: float) -> Column:
         before, peak = F.when(over, 0.0).otherwise(a["now"]), F.when(over, 0.0).otherwise(a["peak"])
         now = before + F.when(a["last"] >= 0, x - least).otherwise(0.0)
         end = F.when(now > peak, a["at"] + 1).when(over, begin).otherwise(a["end"])
-        out = F.when(over, flushed(a)).otherwise(a["out"])
-        return F.struct(c.alias("last"), (a["at"] + 1).alias("at"), (a["total"] + x).alias("total"), now.alias("now"), F.greatest(now, peak).alias("peak"), begin.alias("start"), end.alias("end"), out.alias("out"))
+        full = F.size(a["out"]) >= BLOCK  # what is found moves on in blocks, not as a whole at each step
+        out = F.when(over, flushed(a)).when(full, none).otherwise(a["out"])
+        outs = F.when(~over & full, F.concat(a["outs"], F.array(a["out"]))).otherwise(a["outs"])
+        return F.struct(c.alias("last"), (a["at"] + 1).alias("at"), (a["total"] + x).alias("total"), now.alias("now"), F.greatest(now, peak).alias("peak"), begin.alias("start"), end.alias("end"), out.alias("out"), outs.alias("outs"))
 
     def finish(a: Column) -> Column:
-        return F.when(a["total"] / F.greatest(a["at"] - 1, F.lit(1)) >= least, one(F.lit(0), a["at"])).otherwise(flushed(a))
+        found = F.flatten(F.concat(a["outs"], F.array(flushed(a))))
+        return F.when(a["total"] / F.greatest(a["at"] - 1, F.lit(1)) >= least, one(F.lit(0), a["at"])).otherwise(found)
 
     return F.aggregate(F.transform(F.split(run, ""), _class), start, step, finish)
 
 
-def _left(run: Column, covered: Column) -> Column:
-    """(start, end, match) of what the spans ``covered``, by start, leave of a run, of LEAST_RUN characters or more."""
-    kind = "array<struct<start:int,end:int,match:string>>"
-    piece = lambda start, end: F.array(F.struct(start.alias("start"), end.alias("end"), F.substring(run["match"], start - run["start"] + 1, end - start).alias("match")))
-    hits = F.filter(covered, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
-    begin = F.struct(run["start"].alias("at"), F.array().cast(kind).alias("out"))
+def bound(value: Column, then) -> Column:
+    """``then(value)``, with the value worked out once for a row, however often lambdas in it use it."""
+    return F.element_at(F.transform(F.array(value), then), 1)
 
-    def step(a: Column, b: Column) -> Column:
-        out = F.when(b["start"] - a["at"] >= LEAST_RUN, F.concat(a["out"], piece(a["at"], b["start"]))).otherwise(a["out"])
-        return F.struct(F.greatest(a["at"], b["end"]).alias("at"), out.alias("out"))
 
-    def finish(a: Column) -> Column:
-        return F.when(run["end"] - a["at"] >= LEAST_RUN, F.concat(a["out"], piece(a["at"], run["end"]))).otherwise(a["out"])
+def running(values: Column, neutral: Column, both) -> Column:
+    """For each element of an array the combination of all before it, ``neutral`` for the first.
+
+    Blocks of about the root of the length are gone through one by one, then their totals: a fold over all would move its
+    whole result at each step."""
+
+    def scan(own: Column) -> Column:
+        start = F.struct(neutral.alias("all"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(own, start, lambda a, x: F.struct(both(a["all"], x).alias("all"), F.concat(a["out"], F.array(a["all"])).alias("out")), lambda a: a["out"])
+
+    def cut(all_: Column) -> Column:
+        size = F.greatest(F.ceil(F.sqrt(F.size(all_).cast("double"))), F.lit(1)).cast("int")
+        last = F.floor((F.greatest(F.size(all_), F.lit(1)) - 1) / size).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(all_, k * size + 1, size))
 
-    return F.aggregate(hits, begin, step, finish)
+    def joined(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda own: F.aggregate(own, neutral, both))
+        return F.flatten(F.zip_with(F.transform(blocks, scan), scan(totals), lambda own, before: F.transform(own, lambda x: both(before, x))))
+
+    return bound(values, lambda v: bound(cut(v), joined))
 
 
 def places(text: Column, pattern: str, found: Column) -> Column:
-    """(start, end, match) of ``found``, all matches of ``pattern`` in ``text``."""
+    """(start, end, at, match) of ``found``, all matches of ``pattern`` in ``text``; ``at`` is the byte where one starts."""
     gaps = F.split(text, pattern, -1)
-    both = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("match")))
-    kind = "array<struct<start:int,end:int,match:string>>"
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+    kind = "array<struct<start:int,end:int,at:int,match:string>>"
+    both = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, m: F.struct(F.length(g).alias("gap"), F.octet_length(g).alias("bytes"), m.alias("match")))
+    add = lambda a, b: a + b
+
+    def put(parts: Column) -> Column:
+        before = running(F.transform(parts, lambda x: x["gap"] + F.length(x["match"])), F.lit(0), add)
+        bytes_before = running(F.transform(parts, lambda x: x["bytes"] + F.octet_length(x["match"])), F.lit(0), add)
+        with_both = F.zip_with(before, bytes_before, lambda a, b: F.struct(a.alias("start"), b.alias("at")))
+
+        def one(x: Column, b: Column) -> Column:
+            start = b["start"] + x["gap"]
+            return F.struct(start.alias("start"), (start + F.length(x["match"])).alias("end"), (b["at"] + x["bytes"]).alias("at"), x["match"].alias("match"))
+
+        return F.zip_with(parts, with_both, one)
+
+    return F.when(F.size(found) > 0, bound(both, put)).otherwise(F.array().cast(kind))
+
+
+def merged(spans_: Column) -> Column:
+    """(start, end, at) of what the spans, sorted by start, cover together."""
+
+    def put(own: Column) -> Column:
+        tops = running(F.transform(own, lambda s: s["end"]), F.lit(-1), lambda a, b: F.greatest(a, b))
+        marked = F.zip_with(own, tops, lambda s, top: F.struct(s["start"].alias("start"), s["at"].alias("at"), top.alias("top")))
+        last = F.array_max(F.transform(own, lambda s: s["end"]))
+        first = F.filter(marked, lambda x: x["top"] < x["start"])
+        return bound(first, lambda f: F.transform(f, lambda x, i: F.struct(x["start"].alias("start"), F.coalesce(F.get(f, i + 1)["top"], last).alias("end"), x["at"].alias("at"))))
+
+    return bound(spans_, put)
+
+
+def masked(text: Column, covered: Column) -> Column:
+    """``text`` with blanks in place of the covered spans, which are ASCII; cut as bytes, so that a piece costs its length."""
 
-    def step(a: Column, x: Column) -> Column:
-        start = a["at"] + x["gap"]
-        end = start + F.length(x["match"])
-        return F.struct(end.alias("at"), F.concat(a["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["match"].alias("match")))).alias("out"))
+    def put(both: Column) -> Column:
+        raw, own = both["raw"], both["own"]
+        behind = lambda m: F.coalesce(m["at"] + m["end"] - m["start"], F.lit(0))
+        piece = lambda from_, size: F.substring(raw, from_ + 1, size).cast("string")
+        kept = F.transform(own, lambda m, i: F.concat(piece(behind(F.get(own, i - 1)), m["at"] - behind(F.get(own, i - 1))), F.repeat(F.lit(" "), m["end"] - m["start"])))
+        rest = behind(F.get(own, F.size(own) - 1))
+        return F.concat(F.array_join(kept, ""), piece(rest, F.length(raw) - rest))
 
-    return F.when(F.size(found) > 0, F.aggregate(both, empty, step, lambda a: a["out"])).otherwise(F.array().cast(kind))
+    return F.when(F.size(covered) > 0, bound(F.struct(text.cast("binary").alias("raw"), covered.alias("own")), put)).otherwise(text)
 
 
 def spans(docs: DataFrame, model: list[float], id_col: str = "doc_id", text: str = "text", least: float = LEAST_RATIO) -> DataFrame:
     """(doc_id, assign, access, hex, markov): arrays of (start, end, match) for each kind."""
     own = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "markov": RUN}
-    found = own.select("doc_id", "t", *[F.regexp_extract_all("t", F.lit(p), F.lit(0)).alias(f"m_{k}") for k, p in patterns.items()])
-    placed = found.select("doc_id", *[places(F.col("t"), p, F.col(f"m_{k}")).alias(k) for k, p in patterns.items()])
-    value = lambda m: F.length(F.regexp_extract(m, f"^(?:{ASSIGN})", 2)) >= LEAST_VALUE
-    placed = placed.withColumn("assign", F.filter("assign", lambda s: value(s["match"])))
-    placed = placed.withColumn("covered", F.array_sort(F.concat("assign", "access", "hex")))
-    free = placed.withColumn("markov", F.flatten(F.transform("markov", lambda s: _left(s, F.col("covered"))))).drop("covered")
+    patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX}
+    found = own.select("doc_id", "t", F.regexp_extract_all("t", F.lit(ASSIGN), F.lit(2)).alias("values"), *[F.regexp_extract_all("t", F.lit(p), F.lit(0)).alias(f"m_{k}") for k, p in patterns.items()])
+    placed = found.select("doc_id", "t", "values", *[places(F.col("t"), p, F.col(f"m_{k}")).alias(k) for k, p in patterns.items()])
+    valued = F.zip_with("assign", "values", lambda s, v: F.when(F.length(v) >= LEAST_VALUE, s))
+    placed = placed.select("doc_id", "t", F.filter(valued, lambda s: s.isNotNull()).alias("assign"), "access", "hex")
+    flat = lambda k: F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["at"].alias("at")))
+    covered = merged(F.array_sort(F.concat(*[flat(k) for k in patterns])))
+    # what base spans leave of runs are the runs of the text without them
+    bare = placed.select("doc_id", *patterns, masked(F.col("t"), covered).alias("t"))
+    free = bare.select("doc_id", *patterns, bound(F.col("t"), lambda t: places(t, RUN, F.regexp_extract_all(t, F.lit(RUN), F.lit(0)))).alias("runs"))
     part = lambda s, x: F.struct((s["start"] + x["start"]).alias("start"), (s["start"] + x["end"]).alias("end"), F.substring(s["match"], x["start"] + 1, x["end"] - x["start"]).alias("match"))
-    return free.withColumn("markov", F.flatten(F.transform("markov", lambda s: F.transform(stretches(s["match"], model, least), lambda x: part(s, x)))))
+    markov = F.flatten(F.transform("runs", lambda s: F.transform(stretches(s["match"], model, least), lambda x: part(s, x))))
+    plain = lambda k: F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["match"].alias("match"))).alias(k)
+    return free.select("doc_id", *[plain(k) for k in patterns], markov.alias("markov"))
 
 
 def listed(kinds: tuple) -> Column:
