@@ -44,6 +44,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as a URI of the file system that Spark takes it for: without a scheme, the cluster's default one."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    full = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
+    return "file://" + full.removeprefix("file:") if full.startswith("file:/") and not full.startswith("file://") else full
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

@@ -1,7 +1,8 @@
 """ISO base media files (ISO/IEC 14496-12): write a lossless 8-bit track, walk nested boxes, decode sample tables.
 
-``describe`` stores codec, duration and the byte ranges of key frames of any such file from its boxes alone; payload
-bytes are never decoded. ``store`` puts bytes into a file of one raw grey video track, a frame of 24 x 24 samples of
+``describe`` stores codec, duration and the byte ranges of key frames of such a file from its boxes alone, whether its
+samples are in tables (with sizes as ``stsz`` or the compact ``stz2``) or in movie fragments; payload bytes are never
+decoded. ``store`` puts bytes into a file of one raw grey video track, a frame of 24 x 24 samples of
 8 bits each 576 bytes, and ``payload`` reads them back through the sample tables.
 
 Defined results: a null or empty text is one frame of padding. A file whose boxes are cut off or contradict each other
@@ -114,15 +115,18 @@ def walk(data):
 def tracks(data) -> list[dict]:
     """Each track's codec, timescale, duration and sample tables: offsets, sizes and key flags."""
     found: list[dict] = []
+    fragments: list[tuple] = []
+    defaults: dict[int, tuple] = {}
     for path, start, end in walk(data):
         kind = path[-1]
         if kind == b"trak":
-            found.append({"codec": None, "timescale": 0, "duration": 0, "width": 0, "height": 0})
+            found.append({"codec": None, "timescale": 0, "duration": 0, "width": 0, "height": 0, "id": None})
         elif path[:2] == (b"moov", b"trak") and found:
             t = found[-1]
             if kind == b"mdhd":
                 t["timescale"], t["duration"] = struct.unpack_from(">IQ" if data[start] else ">II", data, start + (20 if data[start] else 12))
             elif kind == b"tkhd":
+                t["id"] = struct.unpack_from(">I", data, start + (20 if data[start] else 12))[0]
                 t["width"], t["height"] = (x >> 16 for x in struct.unpack_from(">II", data, end - 8))
             elif kind == b"stsd" and struct.unpack_from(">I", data, start + 4)[0]:
                 t["codec"] = bytes(data[start + 12 : start + 16]).decode("latin-1")
@@ -131,15 +135,92 @@ def tracks(data) -> list[dict]:
                 if size * n > len(data):
                     raise ValueError("the samples exceed the file")
                 t["sizes"] = np.full(n, size, np.int64) if size else _rows(data, start + 12, end, ">u4", n)
+            elif kind == b"stz2":
+                t["sizes"] = _compact_sizes(data, start, end)
             elif kind in (b"stts", b"stsc"):
                 t[kind.decode()] = _rows(data, start + 8, end, ">u4", struct.unpack_from(">I", data, start + 4)[0] * (2 if kind == b"stts" else 3)).reshape(-1, 2 if kind == b"stts" else 3)
             elif kind in (b"stco", b"co64", b"stss"):
                 t["stss" if kind == b"stss" else "chunks"] = _rows(data, start + 8, end, ">u8" if kind == b"co64" else ">u4", struct.unpack_from(">I", data, start + 4)[0])
+        elif path == (b"moov", b"mvex", b"trex"):
+            track, _, *own = struct.unpack_from(">5I", data, start + 4)
+            defaults[track] = tuple(own)
+        elif path == (b"moof",):
+            long = start >= 16 and struct.unpack_from(">I4s", data, start - 16) == (1, b"moof")
+            fragments.append((kind, start - (16 if long else 8), end))
+        elif path in ((b"moof", b"traf", b"tfhd"), (b"moof", b"traf", b"trun")):
+            fragments.append((kind, start, end))
     for t in found:
         _place(t, len(data))
+    _fragments(data, found, fragments, defaults)
     return found
 
 
+def _compact_sizes(data, start: int, end: int) -> np.ndarray:
+    bits, n = data[start + 7], struct.unpack_from(">I", data, start + 8)[0]
+    if bits == 4:
+        both = _rows(data, start + 12, end, ">u1", (n + 1) // 2)
+        return np.stack([both >> 4, both & 15], axis=1).ravel()[:n]
+    if bits not in (8, 16):
+        raise ValueError("compact sizes have 4, 8 or 16 bits")
+    return _rows(data, start + 12, end, ">u1" if bits == 8 else ">u2", n)
+
+
+def _fragments(data, found: list[dict], boxes: list[tuple], defaults: dict[int, tuple]) -> None:
+    """Add the samples of movie fragments to their tracks, in file order."""
+    of = {t["id"]: t for t in found}
+    runs: dict[int, list] = {}
+    moof = at = 0
+    first, track, own = True, None, (0, 0, 0)
+    for kind, start, end in boxes:
+        if kind == b"moof":
+            moof = at = start
+            first, track = True, None
+            continue
+        flags = struct.unpack_from(">I", data, start)[0] & 0xFFFFFF
+        if kind == b"tfhd":
+            track, here = struct.unpack_from(">I", data, start + 4)[0], start + 8
+            base = moof if first or flags & 0x20000 else at
+            if flags & 1:
+                base, here = struct.unpack_from(">Q", data, here)[0], here + 8
+            here += 4 * bool(flags & 2)
+            values = list(defaults.get(track, (0, 0, 0)))  # duration, size and flags of a sample
+            for i, bit in enumerate((8, 16, 32)):
+                if flags & bit:
+                    values[i], here = struct.unpack_from(">I", data, here)[0], here + 4
+            if here > end:
+                raise ValueError("a fragment's header is cut off")
+            own, at, first = tuple(values), base, False
+            continue
+        if track is None:
+            raise ValueError("a run of samples without a header")
+        n, here = struct.unpack_from(">I", data, start + 4)[0], start + 8
+        if flags & 1:
+            at, here = base + struct.unpack_from(">i", data, here)[0], here + 4
+        lead = None
+        if flags & 4:
+            lead, here = struct.unpack_from(">I", data, here)[0], here + 4
+        fields = [i for i, bit in enumerate((0x100, 0x200, 0x400, 0x800)) if flags & bit]
+        if fields:
+            table = _rows(data, here, end, ">u4", n * len(fields)).reshape(n, len(fields))
+        elif n > len(data):
+            raise ValueError("the samples exceed the file")
+        column = lambda i: table[:, fields.index(i)] if i in fields else np.full(n, own[i], np.int64)  # noqa: E731, B023
+        sizes, kinds = column(1), column(2).copy()
+        if lead is not None and n:
+            kinds[0] = lead
+        offsets = at + np.cumsum(sizes) - sizes
+        at += int(sizes.sum())
+        if n and (offsets.min() < 0 or at > len(data)):
+            raise ValueError("a sample lies outside the file")
+        runs.setdefault(track, []).append((offsets, sizes, kinds & 0x10000 == 0, int(column(0).sum())))
+    for track, parts in runs.items():
+        if track not in of:
+            raise ValueError("a fragment of no track")
+        t = of[track]
+        t["offsets"], t["sizes"], t["keys"] = (np.concatenate([t[k], *[p[i] for p in parts]]) for i, k in enumerate(("offsets", "sizes", "keys")))
+        t["duration"] += sum(p[3] for p in parts)
+
+
 def _rows(data, start: int, end: int, kind: str, n: int) -> np.ndarray:
     if start + n * np.dtype(kind).itemsize > end:
         raise ValueError("a sample table is cut off")
@@ -174,9 +255,9 @@ def _place(t: dict, length: int) -> None:
     t["keys"] = keys
 
 
-def payload(data) -> bytes:
+def payload(data, track: dict | None = None) -> bytes:
     """All samples of the first track, in their order."""
-    t = tracks(data)[0]
+    t = track or tracks(data)[0]
     ends = t["offsets"] + t["sizes"]
     breaks = np.flatnonzero(t["offsets"][1:] != ends[:-1]) + 1
     return b"".join(bytes(data[t["offsets"][g[0]] : ends[g[-1]]]) for g in np.split(np.arange(len(ends)), breaks) if len(g))
@@ -226,8 +307,9 @@ def columns(docs: DataFrame, id_col: str = "doc_id", text: str = "text", with_me
             raw, rows = flat.tobytes(), []
             for d in range(len(offsets) - 1):
                 media = store(raw[offsets[d] : offsets[d + 1]])
-                back = payload(media)
-                rows.append((int(offsets[d + 1] - offsets[d]), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature(tracks(media)[0]), *([media] if with_media else [])))
+                track = tracks(media)[0]
+                back = payload(media, track)
+                rows.append((int(offsets[d + 1] - offsets[d]), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature(track), *([media] if with_media else [])))
             return [list(c) for c in zip(*rows)]
 
         return work

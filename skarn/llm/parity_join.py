@@ -185,7 +185,8 @@ def _all_keys(content: DataFrame, percent: int) -> DataFrame:
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """(doc_id, n_shingles, sid): documents with equal sets share ``sid``; without shingles it is null."""
-    return map_text(docs.withColumnRenamed(id_col, "doc_id"), text, ["doc_id"], "n_shingles bigint, sid bigint", lambda: _describe(width))
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
+    return map_text(own, "text", ["doc_id"], "n_shingles bigint, sid bigint", lambda: _describe(width))
 
 
 def _shared(emitted: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text
-from ._common import new_path, ship
+from ._common import new_path, qualified, ship
 
 PART_BYTES = 32 << 20
 #: Distinct pieces that a worker remembers before it starts anew.
@@ -138,9 +138,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int | None, path: str | None
 
     spark = docs.sparkSession
     ship(spark)
-    path = path or new_path(spark, "tokens")
-    if "://" not in path:
-        path = "file:///" + path.removeprefix("file:").lstrip("/")
+    path = qualified(spark, path or new_path(spark, "tokens"))
     width = 2 if vocabulary <= 1 << 16 else 4
     picked = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     parts = max(1, -(-(picked.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // part_bytes))
