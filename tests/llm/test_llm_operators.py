@@ -234,6 +234,44 @@ def test_line_dedup(spark):
     assert line_dedup.dedup(docs.limit(0)).count() == 0
 
 
+def test_line_dedup_of_repeated_ids(spark):
+    """Of two rows with one id, a line goes where its own text has it, and only there."""
+    rows = [(1, "one two three four five"), (2, "one two three four five\nstays for good here"), (2, "keep this other line here please\nand this line as well"), (3, "one two three four five"), (3, "one two three four five")]
+    out = sorted((r["doc_id"], r["text"]) for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert out == [(1, rows[0][1]), (2, rows[2][1]), (2, "stays for good here"), (3, ""), (3, "")]
+
+
+def test_line_dedup_of_long_texts_and_large_groups(spark):
+    """Thousands of copies and near copies of a line, and a text of tens of thousands of lines, most of which go."""
+    import time
+
+    r = random.Random(3)
+    base = prose(1, 30).split(" ")
+    near = [" ".join(w if k != i % 30 else f"changed{i}" for k, w in enumerate(base)) for i in range(300)]
+    many = [f"line number {i} of this {prose(i % 5000, 4)}" for i in range(40_000)]
+    docs = [(i, " ".join(base)) for i in range(1500)] + [(5000 + i, t) for i, t in enumerate(near)] + [(9000, "\n".join(many)), (9001, "\n".join(many[:20_000])), (9002, None)]
+    start = time.time()
+    found = {x["doc_id"]: x for x in line_dedup.dedup(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert all(found[i]["text"] == ("" if i else " ".join(base)) for i in range(1500))
+    assert sum(found[5000 + i]["text"] == "" for i in range(300)) >= 290
+    assert found[9001]["text"] == "" and found[9001]["__lines"] == 20_000 and len(found[9001]["__drop"]) == 20_000
+    assert found[9000]["text"].split("\n")[0] == many[0] and time.time() - start < 150
+
+
+def test_line_sketches():
+    """A block's sketch has a bit where more than half of its words have it."""
+    from pyspark.sql import SparkSession, functions as F
+
+    spark = SparkSession.getActiveSession()
+    r = random.Random(4)
+    for n in (1, 2, 3, 10, 999, 30_000):
+        words = [r.getrandbits(64) - (1 << 63) for _ in range(min(n, 1000))] * max(1, n // 1000)
+        table = spark.createDataFrame([(w,) for w in words], "h long")
+        sums = [F.try_sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(line_dedup.LANES))).alias(f"s{i}") for i in range(line_dedup.LANE)]
+        got = table.agg(F.count(F.lit(1)).alias("n"), *sums).select(line_dedup.majority([F.col(f"s{i}") for i in range(line_dedup.LANE)], F.col("n"))).first()[0]
+        assert got == sum(1 << b for b in range(60) if 2 * sum((w & (1 << 64) - 1) >> b & 1 for w in words) > len(words))
+
+
 def test_line_dedup_changed_words(spark):
     """Lines of all lengths with a word or a letter changed link as edit similarity alone has it."""
     r, texts = random.Random(11), []
