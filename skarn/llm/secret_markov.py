@@ -28,6 +28,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ._common import bound, running
+
 #: The base patterns (fixed values of the contract), in the order of kinds.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}+"
@@ -127,33 +129,6 @@ def stretches(run: Column, model: list[float], least: float) -> Column:
     return F.aggregate(F.transform(F.split(run, ""), _class), start, step, finish)
 
 
-def bound(value: Column, then) -> Column:
-    """``then(value)``, with the value worked out once for a row, however often lambdas in it use it."""
-    return F.element_at(F.transform(F.array(value), then), 1)
-
-
-def running(values: Column, neutral: Column, both) -> Column:
-    """For each element of an array the combination of all before it, ``neutral`` for the first.
-
-    Blocks of about the root of the length are gone through one by one, then their totals: a fold over all would move its
-    whole result at each step."""
-
-    def scan(own: Column) -> Column:
-        start = F.struct(neutral.alias("all"), F.array().cast("array<int>").alias("out"))
-        return F.aggregate(own, start, lambda a, x: F.struct(both(a["all"], x).alias("all"), F.concat(a["out"], F.array(a["all"])).alias("out")), lambda a: a["out"])
-
-    def cut(all_: Column) -> Column:
-        size = F.greatest(F.ceil(F.sqrt(F.size(all_).cast("double"))), F.lit(1)).cast("int")
-        last = F.floor((F.greatest(F.size(all_), F.lit(1)) - 1) / size).cast("int")
-        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(all_, k * size + 1, size))
-
-    def joined(blocks: Column) -> Column:
-        totals = F.transform(blocks, lambda own: F.aggregate(own, neutral, both))
-        return F.flatten(F.zip_with(F.transform(blocks, scan), scan(totals), lambda own, before: F.transform(own, lambda x: both(before, x))))
-
-    return bound(values, lambda v: bound(cut(v), joined))
-
-
 def places(text: Column, pattern: str, found: Column) -> Column:
     """(start, end, at, match) of ``found``, all matches of ``pattern`` in ``text``; ``at`` is the byte where one starts."""
     gaps = F.split(text, pattern, -1)
