@@ -273,8 +273,8 @@ def test_line_alignment_bounds(spark):
     table = spark.createDataFrame(rows, "a string, b string").selectExpr("*", "split(a, ' ') as wa", "split(b, ' ') as wb")
     from pyspark.sql import functions as F
 
-    x, y = line_dedup._between(table["wa"], table["wb"])
-    table = table.withColumns({"left_a": x, "left_b": y, "least": line_dedup._least(line_dedup._counted(F.col("a")), line_dedup._counted(F.col("b")))})
+    left = line_dedup._between(table["wa"], table["wb"])
+    table = table.withColumns({"left_a": left["x"], "left_b": left["y"], "least": line_dedup._least(line_dedup._counted(F.col("a")), line_dedup._counted(F.col("b")))})
     table = table.withColumns({"bound": line_dedup._aligned(F.col("left_a"), F.col("left_b"), F.lit(1000)), "x": line_dedup._text(F.col("left_a")), "y": line_dedup._text(F.col("left_b"))})
     found = table.selectExpr("bound", "least", "levenshtein(a, b) as d", "levenshtein(x, y) as e").collect()
     assert len(found) > 200 and all(t["least"] <= t["d"] == t["e"] <= t["bound"] for t in found) and sum(t["bound"] < 2 * t["d"] + 5 for t in found) > 150
