@@ -18,13 +18,13 @@ FLAGSHIP = "retrieval_scores"
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import catalog_code, catalog_rows  # noqa: F401
+    from . import catalog_code, catalog_programs, catalog_rows  # noqa: F401
 
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import catalog_code, catalog_rows  # noqa: F401
+    from . import catalog_code, catalog_programs, catalog_rows  # noqa: F401
 
     return dict(SQL)
 

@@ -213,6 +213,10 @@ def is_low_value_file(path: Column) -> Column:
     return F.lower(path).rlike(LOW_VALUE) | path.rlike(GENERATED)
 
 
+def is_generated_file(path: Column) -> Column:
+    return path.rlike(GENERATED)
+
+
 def glob_pattern(glob: str) -> str:
     """Anchored regular expression of a glob with * and ?."""
     import re
