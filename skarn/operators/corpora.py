@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from .graph import kept
 from .assembly import ordinals
 
 #: Paths that are no material, attributes that selection knows, and pairs of them in order of preference (fixed values).
@@ -182,20 +183,32 @@ def required_stages(stages: dict[str, DataFrame], expected: DataFrame, key: str
 
 def rotated_anchors(candidates: DataFrame, cap: int = 3) -> DataFrame:
     """(case_id, candidate_id): each row's anchor, in the order of rows: of its candidates (case_id, row, candidate_id, path, lines,
-    degree) those whose span has been an anchor fewer than ``cap`` times first, then by degree, path and lines. The tally runs
-    across rows, so this is one task over one small row for each candidate."""
-    import pandas as pd
-
-    fields = "case_id string, candidate_id string"
-
-    def run(df: pd.DataFrame) -> pd.DataFrame:
-        used: dict[tuple, int] = {}
-        out = []
-        for _, own in df.sort_values(["row", "candidate_id"]).groupby("row", sort=True):
-            ranked = sorted(own.itertuples(), key=lambda c: (used.get((c.path, c.lines), 0) >= cap, -c.degree, c.path, c.lines, c.candidate_id))
-            first = ranked[0]
-            used[first.path, first.lines] = used.get((first.path, first.lines), 0) + 1
-            out.append((str(first.case_id), str(first.candidate_id)))
-        return pd.DataFrame(out, columns=["case_id", "candidate_id"])
-
-    return candidates.withColumn("__all", F.lit(1)).groupBy("__all").applyInPandas(run, fields)
+    degree) those whose span has been an anchor fewer than ``cap`` times first, then by degree, path, lines and id.
+
+    The tally runs across rows, yet no row waits for another: rows propose to their best span, a span takes the ``cap``
+    first rows that propose, and the others go on to their next. A span's last row taken only ever gets earlier, so a
+    round looks each row's best span up among these bounds, until none changes; then each row has what it would have had
+    in turn. A row that no span takes has its first candidate, whose tally is full. A span that very many rows want is cut
+    to ``cap`` rows for each task before it is sorted. Rows (equal or null ``row``) stand in the order of row and case_id;
+    a null degree is the least."""
+    shape = ["row", "case_id"]
+    own = candidates.select(*shape, "candidate_id", F.struct("path", "lines").alias("span"), F.struct(-F.coalesce("degree", F.lit(-(1 << 30))), F.col("path"), F.col("lines"), F.col("candidate_id")).alias("wish"))
+    # one wish for each span of a row, and rows told apart by their places
+    wishes = own.groupBy(*shape, "span").agg(F.min("wish").alias("wish")).select(F.struct(F.coalesce("row", F.lit(-1)).alias("row"), F.col("case_id").alias("case_id")).alias("turn"), "span", "wish")
+    wishes = kept(wishes)
+    taken = None
+    while True:
+        if taken is None:
+            open_ = wishes
+        else:
+            bounds = F.broadcast(taken) if taken.count() <= 1 << 18 else taken
+            open_ = wishes.join(bounds, "span", "left").where(F.col("last").isNull() | (F.col("turn") <= F.col("last"))).drop("last")
+        best = open_.groupBy("turn").agg(F.min_by(F.struct("span", "wish"), "wish").alias("best")).select("turn", F.col("best.span").alias("span"), F.col("best.wish").alias("wish"))
+        nth = F.row_number().over(Window.partitionBy("span").orderBy("turn"))
+        full = kept(best.withColumn("nth", nth).where(F.col("nth") <= cap).where(F.col("nth") == cap).select("span", F.col("turn").alias("last")))
+        now = full if taken is None else kept(taken.unionByName(full).groupBy("span").agg(F.min("last").alias("last")))
+        if taken is not None and now.count() == taken.count() and now.exceptAll(taken).isEmpty():
+            break
+        taken = now
+    first = wishes.groupBy("turn").agg(F.min("wish").alias("first"))
+    return first.join(best.select("turn", "wish"), "turn", "left").select("turn.case_id", F.coalesce("wish", "first")["candidate_id"].alias("candidate_id"))
