@@ -45,6 +45,58 @@ def names_containing(nodes: DataFrame, part: str, inside_only: bool = False, lim
     return found.orderBy(F.length("name"), "id").limit(limit).select("id", "name")
 
 
+#: Kinds that names are sought in by part, and the most names of a part (fixed values).
+DEFINITION_KINDS = ("class", "interface", "struct", "trait", "protocol", "enum", "type_alias")
+MOST_PARTS = 200
+
+
+def _parts(names: list[str]) -> list[str]:
+    """The names as parts of compound names, each once: a capital and small letters, three at least."""
+    titled = [n[:1].upper() + n[1:].lower() for n in names]
+    return [t for t in dict.fromkeys(titled) if len(t) >= 3]
+
+
+def _with_parts(nodes: DataFrame, parts: list[str], inside_only: bool) -> DataFrame:
+    """(id, name, file_path, turn, part): of every part the 200 shortest names of definitions that have it in any case."""
+    low = F.lower("name")
+    has = lambda p: low.contains(p.lower()) & (~low.startswith(p.lower()) if inside_only else F.lit(True))
+    hits = F.array_compact(F.array(*[F.when(has(p), F.struct(F.lit(k).alias("turn"), F.lit(p).alias("part"))) for k, p in enumerate(parts)]))
+    own = nodes.where(F.col("kind").isin(*DEFINITION_KINDS)).select("id", "name", "file_path", F.explode(hits).alias("h")).select("id", "name", "file_path", "h.turn", "h.part")
+    nth = F.row_number().over(Window.partitionBy("part").orderBy(F.length("name"), "id"))
+    return own.withColumn("nth", nth).where(F.col("nth") <= MOST_PARTS).drop("nth")
+
+
+def boundary_names(nodes: DataFrame, query: str, names: list[str], results: DataFrame, limit: int = 20) -> DataFrame:
+    """(id, name, file_path, score): definitions with a part of the question behind a letter inside their names, which the
+    word index can't find. Names with several parts gain; ``results`` (id) and, for other questions, tests stay out."""
+    parts = _parts(names)
+    if not parts:
+        return nodes.select("id", "name", "file_path", F.lit(0.0).alias("score")).where(F.lit(False))
+    own = _with_parts(nodes, parts, True)
+    at = F.instr(F.col("name"), F.col("part"))
+    own = own.where((at > 1) & F.substring(F.col("name"), at - 1, F.lit(1)).rlike("[a-zA-Z]")).join(results.select("id"), "id", "left_anti")
+    if not asks_for_tests(query):
+        own = own.where(~S.is_test_file(F.col("file_path")))
+    brevity = F.greatest(F.lit(0.0), 6 - (F.length("name") - F.length("part")) / 4)
+    own = own.withColumn("score", 8 + brevity + S.path_relevance(F.col("file_path"), query))
+    most = 4 * -(-limit // 2)
+    own = own.withColumn("nth", F.row_number().over(Window.partitionBy("part").orderBy(F.desc("score"), F.length("name"), "id"))).where(F.col("nth") <= most)
+    met = own.groupBy("id", "name", "file_path").agg(F.min_by("score", "turn").alias("score"), F.count(F.lit(1)).alias("n"))
+    met = met.withColumn("score", F.col("score") * (1 + F.col("n")) + (F.col("n") - 1) * 30)
+    return met.orderBy(F.desc("score"), "id").limit(limit).select("id", "name", "file_path", "score")
+
+
+def compound_names(nodes: DataFrame, query: str, names: list[str], results: DataFrame, limit: int = 20) -> DataFrame:
+    """(id, name, file_path, score): definitions whose names have two or more parts of the question anywhere."""
+    parts = _parts(names)
+    own = _with_parts(nodes, parts or [""], False).join(results.select("id"), "id", "left_anti")
+    if not asks_for_tests(query):
+        own = own.where(~S.is_test_file(F.col("file_path")))
+    met = own.groupBy("id", "name", "file_path").agg(F.count_distinct("part").alias("n")).where("n >= 2")
+    score = 10 + (F.col("n") - 1) * 20 + S.path_relevance(F.col("file_path"), query) + F.greatest(F.lit(0.0), 6 - F.length("name") / 8)
+    return met.withColumn("score", score.cast("double")).orderBy(F.desc("score"), "id").limit(-(-limit // 2)).select("id", "name", "file_path", "score")
+
+
 def without_tests(results: DataFrame, query: str) -> DataFrame:
     """Scores of tests and other files beside production at three tenths, unless the question is about tests."""
     if asks_for_tests(query):

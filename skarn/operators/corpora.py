@@ -181,6 +181,41 @@ def required_stages(stages: dict[str, DataFrame], expected: DataFrame, key: str
     return out
 
 
+def diverse_sample(rows: DataFrame, findings: DataFrame, size: int) -> DataFrame:
+    """(case_id, place) of at most ``size`` cases, by place from 1: those of findings (place, case_id) first, in their order;
+    then the first row of each bucket of project, layer and capability, until what is chosen and the buckets seen would
+    fill the sample; from there on every row.
+
+    ``rows`` has (place, case_id, project, layer, capability). With f cases of findings the look-ahead ends at the
+    ceil((size - f) / 2)-th new bucket, so ranks of buckets tell all of it. Of rows that repeat a case the first counts;
+    findings of no row and without a case do not. ``size`` is the report's length: everything else is ordered and cut."""
+    if size <= 0:
+        return rows.select("case_id", F.lit(0).alias("place")).where(F.lit(False))
+    label = lambda c: S.label_code(F.col(c)) if rows.schema[c].dataType.typeName() == "struct" else F.coalesce(F.col(c).cast("string"), F.lit("unknown"))
+    bucket = F.struct(F.coalesce(F.col("project").cast("string"), F.lit("")).alias("project"), label("layer").alias("layer"), label("capability").alias("capability"))
+    own = rows.where(F.col("case_id").isNotNull()).groupBy("case_id").agg(F.min_by(F.struct(F.col("place"), bucket.alias("bucket")), "place").alias("r")).select("case_id", "r.place", "r.bucket")
+    told = findings.where(F.col("case_id").isNotNull()).groupBy("case_id").agg(F.min("place").alias("f")).join(own.select("case_id"), "case_id")
+    first = told.orderBy("f").limit(size)
+    first = kept(first.withColumn("turn", F.lit(0)).select("turn", F.col("f").alias("at"), "case_id"))
+    left = size - first.count()
+    if left == 0:
+        return _placed(first)
+    rest = kept(own.join(first.select("case_id"), "case_id", "left_anti"))
+    new = rest.groupBy("bucket").agg(F.min_by(F.struct("place", "case_id"), "place").alias("r")).select(F.lit(1).alias("turn"), F.col("r.place").alias("at"), "r.case_id")
+    new = kept(new.orderBy("at").limit(-(-left // 2)))
+    chosen = first.unionByName(new)
+    if new.count() == -(-left // 2):
+        last = new.agg(F.max("at")).first()[0]
+        more = rest.where(F.col("place") > last).select(F.lit(2).alias("turn"), F.col("place").alias("at"), "case_id")
+        chosen = chosen.unionByName(more.orderBy("at").limit(left - -(-left // 2)))
+    return _placed(chosen)
+
+
+def _placed(chosen: DataFrame) -> DataFrame:
+    """Places of a sample, which has as many rows as a report."""
+    return chosen.select("case_id", F.row_number().over(Window.orderBy("turn", "at")).alias("place"))
+
+
 def rotated_anchors(candidates: DataFrame, cap: int = 3) -> DataFrame:
     """(case_id, candidate_id): each row's anchor, in the order of rows: of its candidates (case_id, row, candidate_id, path, lines,
     degree) those whose span has been an anchor fewer than ``cap`` times first, then by degree, path, lines and id.
