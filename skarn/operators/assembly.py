@@ -24,20 +24,6 @@ def bundle_predicate(kind: Column) -> Column:
     return F.when(kind == "imports", "imports_or_includes").otherwise(kind)
 
 
-def entity_index(nodes: DataFrame, files: DataFrame, project: str = "demo") -> DataFrame:
-    """(entity_id, node_id, source_id, name, kind, line) of the nodes of tracked files (path, source_id)."""
-    own = nodes.join(files, nodes["file_path"] == files["path"]).withColumn("bundle_kind", bundle_kind(F.col("kind"), F.col("language"))).where("bundle_kind is not null")
-    eid = S.entity_id(F.lit(project), F.col("source_id"), F.col("bundle_kind"), F.col("name"), F.col("start_line"))
-    return own.select(eid.alias("entity_id"), F.col("id").alias("node_id"), "source_id", "name", F.col("bundle_kind").alias("kind"), F.col("start_line").alias("line"))
-
-
-def relation_graph(edges: DataFrame, ends: DataFrame) -> DataFrame:
-    """Edges as relations between endpoints (node_id, end_id, end_type); an edge without one of them is dropped."""
-    side = lambda p: ends.select(F.col("node_id").alias(p), F.col("end_id").alias(f"{p}_id"), F.col("end_type").alias(f"{p}_type"))
-    both = edges.join(side("source"), "source").join(side("target"), "target")
-    return both.select(F.col("source_id").alias("subject_id"), F.col("source_type").alias("subject_type"), bundle_predicate(F.col("kind")).alias("predicate"), F.col("target_id").alias("object_id"), F.col("target_type").alias("object_type"), "line")
-
-
 def ordinals(df: DataFrame, name: str, form: str, order: list[str]) -> DataFrame:
     """Ids by position in a total order: ranks within ranges of the first column, then the ranges' prefix sums.
 

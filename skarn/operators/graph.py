@@ -331,3 +331,48 @@ def module_structure(nodes: DataFrame) -> DataFrame:
     from ..functions.scalars import dirname
 
     return nodes.select(dirname(F.col("file_path")).alias("folder"), "file_path").distinct().groupBy("folder").agg(F.array_join(F.array_sort(F.collect_list("file_path")), ",").alias("files"), F.count(F.lit(1)).alias("n_files"))
+
+
+#: Symbols of a flow, from end to end (fixed value).
+MOST_HOPS = 7
+
+
+def named_reach(edges: DataFrame, named: DataFrame, max_hops: int = MOST_HOPS) -> DataFrame:
+    """(seed, id, depth, prev) of what each named symbol (id) reaches by calls that have a named symbol at one end at least,
+    so that a flow bridges one symbol that nobody named, but never two; ``prev`` is the smallest symbol of the step before.
+
+    All seeds advance together, a join for each step, and what a seed has reached is not reached again. Null ids and ends
+    are no symbols; repeated calls and names do no harm."""
+    own = named.select("id").where("id is not null").distinct()
+    calls = edges.where("kind = 'calls'").select(F.col("source").alias("prev"), F.col("target").alias("id")).where("prev is not null and id is not null and prev <> id").distinct()
+    mark = own.withColumn("named", F.lit(True))
+    calls = calls.join(mark.withColumnsRenamed({"id": "prev", "named": "a"}), "prev", "left").join(mark.withColumnRenamed("named", "b"), "id", "left")
+    calls = kept(calls.where("a or b").select("prev", "id"))
+    frontier = kept(own.select(F.col("id").alias("seed"), "id", F.lit(0).alias("depth"), F.lit(None).cast("string").alias("prev")))
+    seen = frontier
+    for depth in range(1, max_hops):
+        step = frontier.select("seed", F.col("id").alias("prev")).join(calls, "prev").groupBy("seed", "id").agg(F.min("prev").alias("prev"))
+        step = step.join(seen.select("seed", "id"), ["seed", "id"], "left_anti")
+        frontier = kept(step.select("seed", "id", F.lit(depth).alias("depth"), "prev"))
+        if frontier.isEmpty():
+            break
+        seen = seen.unionByName(frontier)
+    return seen
+
+
+def named_flows(reached: DataFrame, named: DataFrame) -> DataFrame:
+    """(seed, sink, depth): of ``named_reach`` the named symbol that lies deepest below each seed, the smallest of equals."""
+    ends = reached.where("depth > 0").join(named.select("id").distinct(), "id")
+    return ends.groupBy("seed").agg(F.min_by("id", F.struct(-F.col("depth"), F.col("id"))).alias("sink"), F.max("depth").alias("depth"))
+
+
+def longest_flow(reached: DataFrame, named: DataFrame) -> DataFrame:
+    """(step, id) of the longest flow between named symbols, the first by seed of equals, from its parents step by step."""
+    best = kept(named_flows(reached, named).orderBy(F.desc("depth"), "seed").limit(1))
+    at = best.select("seed", F.col("sink").alias("id"), F.col("depth").alias("step"))
+    steps = reached.select("seed", "id", "prev")
+    out = at
+    for _ in range(MOST_HOPS - 1):  # one row a step
+        at = at.join(steps, ["seed", "id"]).where("prev is not null").select("seed", F.col("prev").alias("id"), (F.col("step") - 1).alias("step"))
+        out = out.unionByName(at)
+    return out.select("step", "id")

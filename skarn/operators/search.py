@@ -226,7 +226,8 @@ def resolve(refs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     every = file.unionByName(qualified).unionByName(partial).unionByName(exact).unionByName(loose)
     chosen = best(every, "priority").drop("priority")
-    return refs.join(own, same).join(chosen, "r").select("ref_id", "target", "strategy", "confidence")
+    # by the hash of all fields, null ones too
+    return refs.withColumn("r", F.xxhash64(*same)).join(chosen, "r").select("ref_id", "target", "strategy", "confidence")
 
 
 def promoted(edges: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -96,13 +96,13 @@ def bench(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(source_id, line_count) of the rows' sources: those of numbers below 40."""
-    return spark.range(40).select(F.concat(F.lit("src_"), F.col("id").cast("string")).alias("source_id"), (F.col("id") + 5).alias("line_count"))
+    """(source_id, line_count) of the rows' sources: parts by their numbers below 40."""
+    return table(spark, sf_dir, "part").select((F.col("p_partkey") % 40).alias("id")).distinct().select(F.concat(F.lit("src_"), F.col("id").cast("string")).alias("source_id"), (F.col("id") + 5).alias("line_count"))
 
 
 def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(signal_id, project, axis, attribute) that the rows' claims name: those of numbers below 30."""
-    return spark.range(30).select(
+    """(signal_id, project, axis, attribute) that the rows' claims name: suppliers by their numbers below 30."""
+    return table(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 30).alias("id")).distinct().select(
         F.concat(F.lit("sig_"), F.col("id").cast("string")).alias("signal_id"),
         F.concat(F.lit("p"), (F.col("id") % 2).cast("string")).alias("project"),
         F.when(F.col("id") % 3 == 0, 2).otherwise(3).alias("axis"),
@@ -117,8 +117,8 @@ CTES["bench"] = (
     "bench1 AS (SELECT evidence, " + ", ".join(f"{e} AS {n}" for n, e in _fields(False).items()) + " FROM bench0),\n"
     "bench AS (SELECT *, list_transform(evidence[1:3], lambda x, i: " + _atom(False) + ") AS atoms, " + _forbidden(False) + " AS forbidden, list_transform(evidence[1:2], lambda x: {'source_id': x.source_id, 'path': x.path}) AS refs FROM bench1)"
 )
-CTES["row_sources"] = "row_sources AS (SELECT 'src_' || id AS source_id, id + 5 AS line_count FROM range(40) t(id))"
-CTES["row_signals"] = "row_signals AS (SELECT 'sig_' || id AS signal_id, 'p' || (id % 2) AS project, CASE WHEN id % 3 = 0 THEN 2 ELSE 3 END AS axis, CASE WHEN id % 2 = 0 THEN 'long_tail' ELSE 'conditional_behavior' END AS attribute FROM range(30) t(id))"
+CTES["row_sources"] = "row_sources AS (SELECT 'src_' || id AS source_id, id + 5 AS line_count FROM (SELECT DISTINCT p_partkey % 40 AS id FROM part))"
+CTES["row_signals"] = "row_signals AS (SELECT 'sig_' || id AS signal_id, 'p' || (id % 2) AS project, CASE WHEN id % 3 = 0 THEN 2 ELSE 3 END AS axis, CASE WHEN id % 2 = 0 THEN 'long_tail' ELSE 'conditional_behavior' END AS attribute FROM (SELECT DISTINCT s_suppkey % 30 AS id FROM supplier))"
 
 
 # ---- stage outputs of the rows ---------------------------------------------------------------------------------------

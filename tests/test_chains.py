@@ -102,3 +102,47 @@ def test_fields_of_the_class_around(spark):
     edges = spark.createDataFrame([("Other", "Base", "extends")], "source string, target string, kind string")
     got = {x["ref_id"]: x["target"] for x in C.field_calls(refs, frame(spark, rows), edges).collect()}
     assert got == {"inner": "o", "outer": "u"}
+
+
+def test_flows_between_named_symbols(spark):
+    from skarn.operators import graph
+
+    r = random.Random(8)
+    ids = [f"n{i:02}" for i in range(50)]
+    edges = {(r.choice(ids), r.choice(ids)) for _ in range(90)}
+    named = set(r.sample(ids, 22))
+    want, chains = {}, {}
+    for seed in named:
+        parent, level = {seed: None}, [seed]
+        depth = {seed: 0}
+        for k in range(1, 7):
+            step = {}
+            for a, b in sorted(edges):
+                if a in level and b not in parent and (a in named or b in named):
+                    step.setdefault(b, a)
+            parent |= step
+            depth |= dict.fromkeys(step, k)
+            level = list(step)
+        ends = sorted((-depth[x], x) for x in named if depth.get(x, 0) > 0)
+        if ends:
+            want[seed] = (ends[0][1], -ends[0][0])
+            at, chain = ends[0][1], []
+            while at:
+                chain.append(at)
+                at = parent[at]
+            chains[seed] = chain[::-1]
+    table = spark.createDataFrame([(a, b, "calls") for a, b in edges] + [("n00", "n01", "contains"), (None, "n01", "calls")], "source string, target string, kind string")
+    asked = spark.createDataFrame([(x,) for x in [*named, ids[0] if ids[0] in named else None]], "id string")
+    reached = graph.named_reach(table, asked)
+    assert {x["seed"]: (x["sink"], x["depth"]) for x in graph.named_flows(reached, asked).collect()} == want and len(want) > 10
+    best = min(want, key=lambda s: (-want[s][1], s))
+    got = [x["id"] for x in sorted(graph.longest_flow(reached, asked).collect(), key=lambda x: x["step"])]
+    assert got == chains[best] and len(got) > 3
+
+
+def test_references_with_nulls_are_resolved(spark):
+    from skarn.operators import search
+
+    nodes = spark.createDataFrame([("f", "function", "go", "a::go", "a.py", "python", 1, 1)], "id string, kind string, name string, qualified_name string, file_path string, language string, start_line int, is_exported int")
+    refs = spark.createDataFrame([("1", "go", "calls", "python", "b.py", None), ("2", "go", None, "python", "b.py", 3), ("3", "go", "calls", "python", "b.py", 4)], "ref_id string, name string, kind string, language string, file_path string, line int")
+    assert {x["ref_id"]: x["target"] for x in search.resolve(refs, nodes).collect()} == {"1": "f", "2": "f", "3": "f"}
