@@ -215,10 +215,10 @@ def linked(docs: DataFrame, described: DataFrame, id_col: str = "doc_id", text:
     content = stored(_contents(one, "text", width).dropDuplicates(["sid"]).join(chosen.select("sid", "n"), "sid"), "shingles")
     drop_stored(enough, chosen)
 
-    every = stored(_shared(_all_keys(content, percent)), "all-keys")
+    every = stored(_shared(_all_keys(content, percent)).drop("low"), "all-keys")
     free_shuffles(spark)
     by_key = Window.partitionBy("key")
-    again = _shared(every.drop("least", "low").join(_enough(every), "sid").select("key", "sid", "least"))
+    again = _shared(every.drop("least").join(_enough(every), "sid").select("key", "sid", "least"))
     shared = stored(again.withColumn("size", F.count(F.lit(1)).over(by_key)).drop("low"), "kept-keys")
     drop_stored(every)
     free_shuffles(spark)
