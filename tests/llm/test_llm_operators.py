@@ -714,3 +714,32 @@ def test_pipeline(spark):
     clean = {r["doc_id"] for r in c.decontamination(spark, docs, sf).collect()}
     assert clean == {r[0] for r in wu_manber.brute_force(pairs(docs), items) if not r[-1]}
     assert [n for n, _ in c.STAGES] == ["toxicity", "line_dedup", "ngram_jaccard_join", "benchmark_decontamination", "byte_level_bpe"]
+
+
+def test_pipeline_stages_on_edge_cases(spark, tmp_path):
+    """Null ids and texts, repeated rows, clashing columns and an empty table pass every stage with defined results."""
+    import corpus_pipeline as c
+
+    clean = [(i, prose(100 + i, 40)) for i in range(8)]
+    rows = [*clean, clean[0], (20, None), (21, ""), (None, prose(1, 30)), (None, None), (22, clean[1][1]), (23, "tiny"), (24, "漢字 " * 5000)]
+    shape = "doc_id bigint, text string, lang string, source string, n_chars bigint, score string, hits int, items string, drop int, component_id int, __lines int, __drop int"
+    docs = spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t), "x", 1, "y", 2, 3, 4, 5) for i, t in rows], shape)
+    sf = str(tmp_path)
+    spark.createDataFrame([(i, 1, int(i % 2)) for i in range(8)], "doc_id bigint, quality int, toxic int").limit(0).write.parquet(f"{sf}/labels.parquet")
+    spark.createDataFrame([(1, "words that occur nowhere in these texts at all, thirteen or more of them in a row"), (2, None), (None, "x")], "item_id bigint, text string").write.parquet(f"{sf}/benchmark.parquet")
+    for name, stage in c.STAGES:
+        empty = stage(spark, docs.limit(0), sf)
+        out = stage(spark, docs, sf)
+        if name == c.STAGES[-1][0]:
+            assert empty.count() == 0 and out.count() == len(rows)
+            continue
+        assert empty.columns == out.columns == docs.columns and empty.count() == 0
+        got = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+        gone = sorted(set(rows) - set(got), key=str)
+        if name == "line_dedup":
+            # the copy of a text loses its only line and goes; nothing else does
+            assert gone == [(22, clean[1][1])] and len(got) == len(rows) - 1
+        elif name == "ngram_jaccard_join":
+            assert gone == [(22, clean[1][1])] and got.count(clean[0]) == 2 and (None, None) in got
+        else:
+            assert gone == [] and len(got) == len(rows)
