@@ -33,7 +33,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
 #: Documents of a source that one task sorts.
-RANGE_ROWS = 200_000
+RANGE_ROWS = 1 << 13
 SEED = "mix:"
 WORD = r"[^\x20\x09-\x0D]+"
 
