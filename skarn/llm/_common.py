@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -78,6 +80,15 @@ def free_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def give_back_memory() -> None:
+    """Return what a bounded computation on the driver has freed to the system; where the allocator can't, nothing happens."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
 def broadcast_if_small(df: DataFrame, row_bytes: int, most_bytes: int = 64 << 20) -> DataFrame:
     """Broadcast hint only where a count proves the side small; beyond that the planner joins by shuffle."""
     return F.broadcast(df) if df.count() * row_bytes <= most_bytes else df
