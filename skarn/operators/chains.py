@@ -75,13 +75,23 @@ def on_types(wanted: DataFrame, nodes: DataFrame, closure: DataFrame, imports: D
 
 def _returned(wanted: DataFrame, nodes: DataFrame) -> DataFrame:
     """(w, ret): the return type of the routine ``class::method`` for ``wanted`` (w, language, class, method), where the
-    call may name more or fewer scopes than the node; without a class, of the function."""
+    call may name more or fewer scopes than the node; without a class, of the function. Calls and routines meet by the last
+    scope too, so that a method's name that many types share makes no pairs of all calls with all types."""
+    one = F.struct("target", "return_type")
     routines = _routines(nodes).where("return_type <> ''")
+    fields = ["language", "method", "qualified_name"]
+    named = routines.where("qualified_name is not null").groupBy(*fields).agg(F.min(one).alias("b")).select(*fields, "b")
     want = F.concat("class", F.lit("::"), "method")
-    both = wanted.join(routines.drop("n_file"), ["language", "method"])
-    fits = (F.col("qualified_name") == want) | F.col("qualified_name").endswith(F.concat(F.lit("::"), want)) | want.endswith(F.concat(F.lit("::"), F.col("qualified_name")))
-    both = both.where(F.when(F.col("class").isNull(), F.col("n_kind") == "function").otherwise(fits))
-    return both.groupBy("w").agg(F.min_by("return_type", "target").alias("ret"))
+    scope = lambda c: F.regexp_extract(c, r"([^:]*)::([^:]*)$", 1)  # noqa: E731  the same for two names of which one ends the other
+    own = wanted.where(F.col("class").isNotNull()).withColumn("want", want).withColumn("scope", scope(F.col("want")))
+    scoped = F.col("qualified_name").contains("::")
+    fits = (F.col("qualified_name") == F.col("want")) | F.col("qualified_name").endswith(F.concat(F.lit("::"), "want")) | F.col("want").endswith(F.concat(F.lit("::"), "qualified_name"))
+    within = own.join(named.where(scoped).withColumn("scope", scope(F.col("qualified_name"))), ["language", "method", "scope"]).where(fits)
+    bare = own.join(named.where(~scoped), ["language", "method"]).where(fits)
+    free = routines.where("n_kind = 'function'").groupBy("language", "method").agg(F.min(one).alias("b"))
+    alone = wanted.where(F.col("class").isNull()).join(free, ["language", "method"])
+    every = within.select("w", "b").unionByName(bare.select("w", "b")).unionByName(alone.select("w", "b"))
+    return every.groupBy("w").agg(F.min("b").alias("b")).select("w", F.col("b.return_type").alias("ret"))
 
 
 def _first_types(links: DataFrame, nodes: DataFrame) -> DataFrame:
