@@ -698,6 +698,35 @@ def test_toxicity_sample_passes_over_long_texts(spark):
     assert any(x["score"] > 0 for x in toxicity.score(docs.limit(20), model).collect())
 
 
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """What only rows far down the order of the hash teach is learned, in several shards, and reruns agree."""
+    from pyspark.sql import functions as F
+
+    ids = spark.range(3_400).select("id", F.xxhash64(F.col("id").cast("string")).alias("rank")).orderBy("rank").collect()
+    rows = [(r.id, i % 2) for i, r in enumerate(ids)]
+    late = {i for i, bad in rows[-300:] if bad}
+    texts = [(i, prose(20_000 + i, 12) + (" zarkoid" if i in late else " vileman" if bad else "")) for i, bad in rows]
+    docs, labels = spark.createDataFrame(texts, "doc_id bigint, text string"), spark.createDataFrame(rows, "doc_id bigint, toxic int")
+    model = toxicity.train(docs, labels, most_bytes=80_000)
+    again = toxicity.train(docs.repartition(3), labels, most_bytes=80_000)
+    assert (model.table == again.table).all() and (model.thresholds == again.thresholds).all() and model.offset == again.offset
+    asked = [prose(90_000 + i, 12) + end for i in range(50) for end in (" zarkoid", " vileman", "")]
+    got = [r["score"] >= 0.7 for r in toxicity.score(spark.createDataFrame(list(enumerate(asked)), "doc_id bigint, text string"), model).orderBy("doc_id").collect()]
+    assert sum(got[0::3]) >= 45 and sum(got[1::3]) >= 45 and sum(got[2::3]) <= 3
+
+
+def test_toxicity_long_texts_in_pieces(monkeypatch):
+    bad, good = [(prose(i, 30) + " zappo").encode() for i in range(40)], [prose(100 + i, 30).encode() for i in range(80)]
+    model = toxicity.fit(bad + good, [True] * 40 + [False] * 80, epochs=1)
+    flat = [np.frombuffer(t, np.uint8) for t in (bad[0] + b" " + good[0], b"a b", b"", bad[1])]
+    w = toxicity.Words.of(np.concatenate(flat), np.concatenate([[0], np.cumsum([len(f) for f in flat])]))
+    logit, h, _, where = model.forward(w, keep=True)
+    for size in (1, 2, 7, 30, 31, 61):
+        monkeypatch.setattr(toxicity, "PIECE", size)
+        cut, h_cut, _, where_cut = model.forward(w, keep=True)
+        assert np.allclose(logit, cut, atol=1e-5) and (where == where_cut)[h > 0].all()
+
+
 def test_pipeline(spark):
     import corpus_pipeline as c
 
