@@ -99,3 +99,21 @@ def _largest(df, node: str = "Join") -> int:
         children = at.children()
         left += [children.apply(i) for i in range(children.size())]
     return most
+
+
+def test_pagerank_in_slices_is_the_same(spark):
+    edges = spark.range(60).select(F.concat(F.lit("n"), F.col("id") % 13).alias("source"), F.concat(F.lit("n"), (F.col("id") * 7) % 17).alias("target"), F.lit("calls").alias("kind"))
+    nodes = spark.range(16).select(F.concat(F.lit("n"), F.col("id")).alias("id")).unionByName(spark.createDataFrame([("alone",)], "id string"))
+    pairs = [(r.source, r.target) for r in edges.collect() if r.source != r.target and "n16" not in (r.source, r.target)]
+    steps = pairs + [(b, a) for a, b in pairs]
+    ids, seeds = [r.id for r in nodes.collect()], {"n3", "alone"}
+    degree = {i: sum(a == i for a, _ in steps) for i in ids}
+    rank = {i: (i in seeds) / 2 for i in ids}
+    for _ in range(4):
+        got = {i: 0.0 for i in ids}
+        for a, b in steps:
+            got[b] += rank[a] / degree[a]
+        rank = {i: 0.25 * (i in seeds) / 2 + 0.75 * (got[i] + (rank[i] if not degree[i] else 0)) for i in ids}
+    for size in (10, 1_000):
+        out = {r.id: r["rank"] for r in graph.pagerank(nodes, edges, graph.ids(edges, [*seeds, "absent"]), rounds=4, slice_steps=size).collect()}
+        assert set(out) == set(ids) and all(abs(out[i] - rank[i]) < 1e-12 for i in ids)
