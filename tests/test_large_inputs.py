@@ -117,3 +117,24 @@ def test_pagerank_in_slices_is_the_same(spark):
     for size in (10, 1_000):
         out = {r.id: r["rank"] for r in graph.pagerank(nodes, edges, graph.ids(edges, [*seeds, "absent"]), rounds=4, slice_steps=size).collect()}
         assert set(out) == set(ids) and all(abs(out[i] - rank[i]) < 1e-12 for i in ids)
+
+
+def test_go_members_in_parts_are_the_same(spark):
+    rows, links = [("I", "interface", "R", None, "p/a.go", "go", 1), ("I.f", "method", "f0", None, "p/a.go", "go", 2), ("U", "struct", "UnimplementedXServer", None, "p/x_grpc.pb.go", "go", 1)], [("I", "I.f"), ("I", "I.f")]
+    for k in range(2):
+        rows.append((f"U.f{k}", "method", f"f{k}", None, "p/x_grpc.pb.go", "go", 2 + k))
+        links.append(("U", f"U.f{k}"))
+    for s in range(12):
+        rows.append((f"S{s:02}", "struct", f"S{s}", None, f"p/s{s}.go", "go", 1))
+        for k in range(2):
+            rows.append((f"S{s:02}.f{k}", "method", f"f{k}", None, f"p/s{s}.go", "go", 5 + k))
+            links += [(f"S{s:02}", f"S{s:02}.f{k}"), (f"S{(s + 1) % 4:02}", f"S{s:02}.f{k}")][: 2 if s < 4 else 1]  # some are held by two
+    rows += [("J", "class", "J", None, "j.java", "java", 1), ("J.f", "method", "f", None, "j.java", "java", 2), ("loose", "method", "g", "S5::g", "p/g.go", "go", 9), ("held", "method", "g", "S6::g", "p/g.go", "go", 9)]
+    links += [("J", "J.f"), ("J", "held"), ("S07", "J.f")]
+    nodes = spark.createDataFrame(rows, "id string, kind string, name string, qualified_name string, file_path string, language string, start_line int")
+    edges = spark.createDataFrame([(*x, "contains", 1) for x in links], "source string, target string, kind string, line int")
+    whole = [synthesis.contained_edges(nodes, edges), synthesis.implement_edges(nodes, edges), synthesis.stub_edges(nodes, edges)]
+    want = sorted((tuple(r) for e in whole for r in e.collect()), key=str)
+    assert len(want) > 30
+    for most in (3, 1_000):
+        assert sorted((tuple(r) for r in synthesis.go_members(nodes, edges, most).collect()), key=str) == want
