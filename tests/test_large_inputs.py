@@ -138,3 +138,13 @@ def test_go_members_in_parts_are_the_same(spark):
     assert len(want) > 30
     for most in (3, 1_000):
         assert sorted((tuple(r) for r in synthesis.go_members(nodes, edges, most).collect()), key=str) == want
+
+
+def test_flows_of_seeds_in_parts_are_the_same(spark):
+    edges = spark.range(90).select(F.concat(F.lit("n"), F.pmod(F.hash("id"), F.lit(50))).alias("source"), F.concat(F.lit("n"), F.pmod(F.hash("id", F.lit(1)), F.lit(50))).alias("target"), F.when(F.col("id") % 9 == 0, "contains").otherwise("calls").alias("kind"))
+    named = spark.range(22).select(F.concat(F.lit("n"), F.col("id") * 2).alias("id")).unionByName(spark.createDataFrame([(None,), ("n2",)], "id string"))
+    want = sorted(tuple(r) for r in graph.named_flows(graph.named_reach(edges, named), named).collect())
+    assert len(want) > 10
+    for most in (5, 1_000):
+        assert sorted(tuple(r) for r in graph.all_flows(edges, named, most=most).select("seed", "sink", "depth").collect()) == want
+    assert graph.all_flows(edges.limit(0), named).count() == 0
