@@ -294,6 +294,35 @@ def test_line_sketches():
         assert got == sum(1 << b for b in range(60) if 2 * sum((w & (1 << 64) - 1) >> b & 1 for w in words) > len(words))
 
 
+def test_line_sketches_in_narrow_lanes(spark):
+    """Lanes of seven bits count the words of the largest usual blocks, and lines have that many words a block at most."""
+    from pyspark.sql import functions as F
+
+    r = random.Random(5)
+    for n in (1, 2, 5, 64, 126, 127):
+        words = [r.getrandbits(64) - (1 << 63) for _ in range(n - n // 3)] + [-1] * (n // 3)
+        sums = [F.try_sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(line_dedup.lanes(line_dedup.NARROW)))).alias(f"s{i}") for i in range(line_dedup.SHIFTS)]
+        table = spark.createDataFrame([(w,) for w in words], "h long").agg(F.count(F.lit(1)).alias("n"), *sums)
+        got = table.select(line_dedup.majority([F.col(f"s{i}") for i in range(line_dedup.SHIFTS)], F.col("n"), line_dedup.NARROW)).first()[0]
+        bits = [7 * k + i for k in range(9) for i in range(line_dedup.SHIFTS)]
+        assert got == sum(1 << b for b in bits if 2 * sum((w & (1 << 64) - 1) >> b & 1 for w in words) > n)
+    bounds = [*line_dedup.CLASSES, (1 << 21, 0)]
+    assert all(high * 1.143 / blocks < 74 for (_, blocks), (high, _) in zip(bounds, bounds[1:]))
+
+
+def test_line_dedup_of_lines_with_many_changed_words(spark):
+    """Lines of many words with a fiftieth of them changed: with ten blocks a line, each block had a changed word."""
+    r, texts = random.Random(13), []
+    for k, n in enumerate((700, 1500, 3000, 9000)):
+        words = [f"w{r.randrange(10**6)}" for _ in range(n)]
+        other = list(words)
+        for at in r.sample(range(n), n // 50):
+            other[at] = f"x{r.randrange(10**6)}"
+        texts += [" ".join(words), " ".join(other)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {x["doc"] for x in line_dedup.dropped(docs).collect()} == {1, 3, 5, 7}
+
+
 def test_line_dedup_changed_words(spark):
     """Lines of all lengths with a word or a letter changed link as edit similarity alone has it."""
     r, texts = random.Random(11), []
