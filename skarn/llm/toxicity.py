@@ -43,6 +43,8 @@ USUAL_ROWS = 4_500
 #: Units of a change and of a logit in whole numbers.
 CHANGE, CENTS = 1 << 24, 1_000
 THRESHOLD = 0.7
+#: Rows of the table whose changes are put into whole numbers at once.
+PART = 1 << 13
 ROWS_BITS = 18
 SIZE = 16
 FILTERS = 16
@@ -385,8 +387,13 @@ def _arrow(names: list[str], columns: list[np.ndarray], rows: int = 1 << 15):
 
 def _over(rows: DataFrame, work, schema: str) -> DataFrame:
     """``work`` over the small batches of a table of rows to learn from."""
+
+    def run(batches):
+        yield from work(_batches(batches))
+        give_back_memory()  # the worker waits for other tasks
+
     ship(rows.sparkSession)
-    return rows.select("shard", "text", "bad").mapInArrow(lambda batches: work(_batches(batches)), schema)
+    return rows.select("shard", "text", "bad").mapInArrow(run, schema)
 
 
 def _start(rows: DataFrame, n: int, p: int) -> np.ndarray:
@@ -411,14 +418,19 @@ def _round(rows: DataFrame, model: Model, square: np.ndarray, n: int, p: int) ->
     names = [f"c{i}" for i in range(SIZE + 1)]
 
     def changes(old: Model, old_square: np.ndarray, learner: Learner):
-        at, new = np.flatnonzero(learner.changed), learner.model
+        new = learner.model
+
+        def whole(at: np.ndarray, change: np.ndarray):
+            units = np.rint(change.astype(np.float64) * CHANGE).astype(np.int64) * learner.rows
+            yield from _arrow(["at", "n", *names], [at.astype(np.int32), np.full(len(at), learner.rows, np.int64), *units.T])
+
+        changed = np.flatnonzero(learner.changed)
+        for low in range(0, len(changed), PART):
+            at = changed[low : low + PART]
+            yield from whole(at, np.column_stack([new.table[at] - old.table[at], learner.square[at] - old_square[at]]))
         flat = _flat(new) - _flat(old)
         flat = np.pad(flat, (0, -len(flat) % SIZE)).reshape(-1, SIZE)
-        table = np.concatenate([new.table[at] - old.table[at], flat])
-        squares = np.concatenate([learner.square[at] - old_square[at], np.zeros(len(flat))])
-        whole = np.rint(np.column_stack([table, squares]).astype(np.float64) * CHANGE).astype(np.int64) * learner.rows
-        at = np.concatenate([at, len(old.table) + np.arange(len(flat))]).astype(np.int32)
-        yield from _arrow(["at", "n", *names], [at, np.full(len(at), learner.rows, np.int64), *whole.T])
+        yield from whole(len(old.table) + np.arange(len(flat)), np.column_stack([flat, np.zeros(len(flat))]))
 
     def learn(batches):
         old, old_square = sent.value
@@ -427,10 +439,12 @@ def _round(rows: DataFrame, model: Model, square: np.ndarray, n: int, p: int) ->
             if own != shard:
                 if learner:
                     yield from changes(old, old_square, learner)
+                learner = None  # before the next one's model is copied
                 shard, learner = own, Learner(copy.deepcopy(old), old_square.copy(), n, p)
             learner.step(w, bad)
         if learner:
             yield from changes(old, old_square, learner)
+        del old, old_square, learner
 
     made = _over(rows, learn, ", ".join(["at int", "n long", *[f"{c} long" for c in names]]))
     got = made.groupBy("at").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in names]).toArrow()  # as many rows as the model

@@ -180,6 +180,18 @@ def test_components(spark):
     assert _graph.components(links.limit(0)).count() == 0
 
 
+def test_text_that_is_carried_is_sent_once(spark):
+    from skarn.llm._common import map_text
+
+    sent = []
+    table = spark.createDataFrame([(1, "a b", "k"), (2, None, "l")], "doc_id bigint, text string, __text string")
+    frame = type("Frame", (), {"sparkSession": spark, "select": lambda self, *c: sent.append(len(c)) or table.select(*c)})()
+    start = lambda: lambda flat, offsets, part: [np.diff(offsets)]
+    for carry, columns in ((["doc_id", "text"], 2), (["doc_id"], 2), (["doc_id", "text", "__text"], 3)):
+        got = map_text(frame, "text", carry, "size bigint", start).collect()
+        assert sent.pop() == columns and [r.asDict() for r in got] == [{**{c: r[c] for c in carry}, "size": n} for r, n in zip(table.collect(), (3, 0))]
+
+
 def test_wu_manber(spark, docs):
     text = [t for _, t in pairs(docs) if t]
     items = [(1, text[-2][:300]), (2, text[-3][:200]), (3, "one"), (4, None), (5, ""), (6, "漢字 123"), (1, text[-2][:300]), (7, "absent words here")]
