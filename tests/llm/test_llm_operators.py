@@ -180,6 +180,22 @@ def test_components(spark):
     assert _graph.components(links.limit(0)).count() == 0
 
 
+def test_last_comparison_of_large_keys_leaves_components_alone(spark):
+    """Items of a key's first component meet those of others, not each other, and no link between components is lost."""
+    items = range(205)  # a component of 200, and 5 items of which one belongs to it
+    shared = _graph.stored(spark.createDataFrame([(1, i, 0, 205) for i in items], "key bigint, item bigint, low bigint, n bigint"), "shared")
+    facts = _graph.stored(spark.createDataFrame([(i, i) for i in items], "item bigint, size bigint"), "facts")
+    calls = []
+
+    def verified(pairs):
+        calls.append((pairs.count(), pairs._jdf.queryExecution().optimizedPlan().toString()))
+        return pairs.where("(a = 0 and b < 200) or (a = 77 and b = 203) or (a = 201 and b = 202)")
+
+    got = {r["node"]: r["component"] for r in _graph.cluster_by_keys(shared, verified, facts, lambda x, y: x("size") >= 0, probes=0).collect()}
+    assert got == {**{i: 0 for i in range(200)}, 203: 0, 201: 201, 202: 201}
+    assert calls[-1][0] == 5 * 199 + 10 and regex.search(r"NOT \(component#\d+L = least#\d+L\)", calls[-1][1])
+
+
 def test_text_that_is_carried_is_sent_once(spark):
     from skarn.llm._common import map_text
 
@@ -192,6 +208,30 @@ def test_text_that_is_carried_is_sent_once(spark):
         assert sent.pop() == columns and [r.asDict() for r in got] == [{**{c: r[c] for c in carry}, "size": n} for r, n in zip(table.collect(), (3, 0))]
 
 
+def test_line_sides_count_letters_of_changed_words(spark):
+    """A changed word costs what changes it, so that lines with a letter changed in many words link side by side."""
+    from pyspark.sql import functions as F
+
+    words = prose(5, 40).split(" ")
+    table = spark.createDataFrame([(words, [w[:-1] + "x" for w in words])], "a array<string>, b array<string>")
+    assert table.select(line_dedup._aligned(F.col("a"), F.col("b"), F.lit(1000))).first()[0] == 40
+
+
+def test_letter_counts_beyond_their_lanes(spark):
+    """Counts in lanes give the bound of counts one by one, up to the largest, and for what a line has beyond that none that is too high."""
+    from pyspark.sql import functions as F
+
+    r = random.Random(8)
+    rows = [("".join(r.choice("abcz é ") for _ in range(60)), "".join(r.choice("xyzé ") for _ in range(50))) for _ in range(40)]
+    rows += [("a" * 5_000, "b" * 5_000), ("a" * 1_023 + "z" * 1_023, "é" * 1_023 + "q" * 1_023), ("", "abc"), ("é" * 9, "abc")]
+    table = spark.createDataFrame(rows, "a string, b string")
+    got = table.select(line_dedup._least(line_dedup._counted(F.col("a")), line_dedup._counted(F.col("b")))).collect()
+    for (a, b), (least,) in zip(rows, got):
+        count = lambda t: [min(t.count(c), 1_023) for c in line_dedup.LETTERS] + [min(sum(c not in line_dedup.LETTERS for c in t), 1_023)]
+        apart = [x - y for x, y in zip(count(a), count(b))]
+        assert least == max(sum(d for d in apart if d > 0), -sum(d for d in apart if d < 0))
+
+
 def test_wu_manber(spark, docs):
     text = [t for _, t in pairs(docs) if t]
     items = [(1, text[-2][:300]), (2, text[-3][:200]), (3, "one"), (4, None), (5, ""), (6, "漢字 123"), (1, text[-2][:300]), (7, "absent words here")]
