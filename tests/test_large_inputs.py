@@ -119,6 +119,24 @@ def test_pagerank_in_slices_is_the_same(spark):
         assert set(out) == set(ids) and all(abs(out[i] - rank[i]) < 1e-12 for i in ids)
 
 
+def test_pagerank_reads_edges_as_often_for_more_rounds(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        read.add(1)
+        return x
+
+    pairs = [(f"n{i}", f"n{i * 7 % 17}", "calls") for i in range(17)] * 3
+    edges = spark.createDataFrame(spark.sparkContext.parallelize(pairs, 2).map(seen), "source string, target string, kind string")
+    nodes = spark.createDataFrame([(f"n{i}",) for i in range(17)], "id string")
+    counts = []
+    for rounds in (1, 3):
+        before = read.value
+        graph.pagerank(nodes, edges, rounds=rounds).count()
+        counts.append(read.value - before)
+    assert counts[0] == counts[1] > 0
+
+
 def test_go_members_in_parts_are_the_same(spark):
     rows, links = [("I", "interface", "R", None, "p/a.go", "go", 1), ("I.f", "method", "f0", None, "p/a.go", "go", 2), ("U", "struct", "UnimplementedXServer", None, "p/x_grpc.pb.go", "go", 1)], [("I", "I.f"), ("I", "I.f")]
     for k in range(2):
